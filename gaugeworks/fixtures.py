@@ -69,9 +69,13 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean event value per user and hour."""
+    return hourly_of(table(spark, sf_dir, "events"))
+
+
+def hourly_of(events: DataFrame) -> DataFrame:
     ts = F.col("ts")
     hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.lit(0), F.lit(0))
-    events = table(spark, sf_dir, "events").select(
+    events = events.select(
         F.col("user_id").cast("string").alias("ec_station_id"), hour.alias("datetime"), "value"
     )
     per_hour = events.groupBy("ec_station_id", "datetime").agg(F.avg("value").alias("temp"))
