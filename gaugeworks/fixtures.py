@@ -17,11 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per supplier and ship date; returned goods count as missing values."""
     shipped = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("ec_station_id"),
+        "l_suppkey",
         F.col("l_shipdate").cast("date").alias("datetime"),
         F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("amount"),
     )
-    per_day = shipped.groupBy("ec_station_id", "datetime").agg(F.max("amount").alias("total_precip"))
+    per_day = shipped.groupBy("l_suppkey", "datetime").agg(F.max("amount").alias("total_precip"))
+    per_day = per_day.withColumn("ec_station_id", F.col("l_suppkey").cast("string"))
     return per_day.select(
         "ec_station_id",
         F.concat(F.lit("C"), "ec_station_id").alias("climate_id"),

@@ -30,9 +30,10 @@ def to_month(text: Column) -> Column:
     return F.coalesce(year, month).try_cast("date")
 
 
-def month_day(moment: Column) -> Column:
-    """Calendar day without the year, unpadded: ``2-29``. NULL dates give NULL."""
-    return F.concat(F.month(moment).cast("string"), F.lit("-"), F.day(moment).cast("string"))
+def month_day(month: Column | str, day: Column | str) -> Column:
+    """Calendar day without the year, unpadded: ``2-29``. A missing part gives NULL."""
+    text = lambda c: (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.concat(text(month), F.lit("-"), text(day))
 
 
 def slot_of(index: Column) -> Column:
