@@ -37,12 +37,10 @@ def month_day(month: Column | str, day: Column | str) -> Column:
 
 
 def slot_of(index: Column) -> Column:
-    """Position 0..364 of a ``M-D`` day in a common year; NULL for the leap day."""
-    parts = F.split(index, "-")
-    day = F.try_make_timestamp_ntz(
-        F.lit(2001), parts[0].cast("int"), parts[1].cast("int"), F.lit(0), F.lit(0), F.lit(0)
-    )
-    return F.dayofyear(day) - 1
+    """Position 0..364 of a ``M-D`` day in a common year."""
+    before = F.array(*(F.lit(dt.date(2001, m, 1).timetuple().tm_yday - 1) for m in range(1, 13)))
+    month, day = F.substring_index(index, "-", 1), F.substring_index(index, "-", -1)
+    return F.get(before, month.cast("int") - 1) + day.cast("int") - 1
 
 
 def month_text(day: Column) -> Column:
