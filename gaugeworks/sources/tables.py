@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeworks import schemas
 
@@ -56,5 +57,5 @@ def write_observations(
 
 def read_observations(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A stored table with its partition column, schema declared rather than inferred."""
-    schema = schemas.observation_schema(kind).add(PARTITION, "int")
+    schema = schemas.observation_schema(kind).add(PARTITION, T.IntegerType())
     return spark.read.schema(schema).parquet(path)

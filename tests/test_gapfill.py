@@ -1,0 +1,77 @@
+"""Representative years and gap filling."""
+
+import datetime as dt
+
+import pytest
+
+from gaugeworks import fixtures as fx
+from gaugeworks.operators import climatology, gapfill, weights
+from gaugeworks.session import written
+
+DAILY = "ec_station_id string, station_name string, datetime date, total_precip double"
+D = dt.date
+
+
+def test_representative_year(spark):
+    rows = [("1", "OLD", D(1999, 3, 1), 1.0), ("1", "NEW", D(2000, 3, 1), 3.0), ("1", "NEW", D(2001, 3, 1), None),
+            ("1", "NEW", D(2000, 2, 29), None), ("1", "NEW", None, 9.0), ("2", "DRY", D(2000, 1, 1), None)]
+    daily = spark.createDataFrame(rows, DAILY)
+    got = {(r.ec_station_id, r["index"]): r for r in climatology.representative_year(daily).collect()}
+    assert set(got) == {("1", "3-1"), ("1", "2-29")}
+    assert (got["1", "3-1"].mean_total_precip, got["1", "3-1"].n_total_precip, got["1", "3-1"].station_name) == (2.0, 2, "NEW")
+    assert (got["1", "2-29"].mean_total_precip, got["1", "2-29"].n_total_precip) == (None, 0)
+    assert [r.ec_station_id for r in climatology.stations_without(daily).collect()] == ["2"]
+
+
+def test_completeness_and_profiles(spark):
+    rows = [("1", "1-1", 1.0), ("1", "12-31", None), ("1", "2-29", 4.0), ("2", "2-29", 4.0), ("3", "3-1", 2.0)]
+    year = spark.createDataFrame(rows, "ec_station_id string, index string, mean_total_precip double")
+    full = {r.ec_station_id: r.rep_year_completeness for r in climatology.rep_year_completeness(year).collect()}
+    assert full == {"1": 0.5, "3": 1.0}
+    got = {r.station_id: (r.slots, r.means, r.rep_year_completeness) for r in climatology.profiles(year).collect()}
+    assert got == {"1": ([0], [1.0], 0.5), "2": ([], [], 0.0), "3": ([59], [2.0], 1.0)}
+
+
+@pytest.fixture(scope="module")
+def case(spark):
+    days = [D(2000, 1, 1), D(2000, 1, 2), D(2000, 1, 3)]
+    rows = [("t", "T", days[0], None), ("t", "T", days[1], 7.0), ("t", "T", days[2], None),
+            ("a", "A", days[0], 10.0), ("b", "B", days[0], 20.0), ("c", "C", days[0], 99.0), ("a", "A", days[2], None)]
+    links = [("t", "a", 0.25), ("t", "b", 0.75), ("t", "c", None)]
+    return (spark.createDataFrame(rows, DAILY),
+            spark.createDataFrame(links, "active_station string, station_id string, comp_weight double"))
+
+
+def test_fill(spark, case):
+    daily, links = case
+    targets = spark.createDataFrame([("t",)], "station_id string")
+    rows = {str(r.datetime): r for r in gapfill.interpolate_precip(daily, links, targets).collect()}
+    assert len(rows) == 3
+    a, b, c = (rows[f"2000-01-0{i}"] for i in (1, 2, 3))
+    assert (a.total_precip, a.og_total_precip, a.precip_intp_flag, a.n_neighbours) == (17.5, None, "interpolated", 2)
+    assert (b.total_precip, b.og_total_precip, b.precip_intp_flag, b.n_neighbours) == (7.0, 7.0, "recorded", 0)
+    assert (c.total_precip, c.precip_intp_flag, c.n_neighbours) == (None, "interpolated", 0)
+    everybody = gapfill.interpolate_precip(daily, links)
+    assert everybody.count() == daily.count()
+    only = gapfill.interpolate_precip(daily, links, targets, "2000-01-02", "2000-01-02").collect()
+    assert [str(r.datetime) for r in only] == ["2000-01-02"]
+    summary = {r.precip_intp_flag: tuple(r)[1:] for r in gapfill.interpolation_summary(everybody).collect()}
+    assert summary == {"recorded": (4, 4, 0), "interpolated": (3, 1, 2)}
+
+
+def test_filled_values_lie_between_their_neighbours(spark, sf, tmp_path):
+    daily = written(fx.daily(spark, sf), "daily")
+    known = weights.station_profiles(fx.stations(spark, sf), climatology.representative_year(daily))
+    links = written(weights.station_weights(known, known), "links")
+    filled = gapfill.interpolate_precip(daily, links)
+    assert filled.count() == daily.count()
+    assert filled.where("precip_intp_flag = 'recorded' and total_precip <> og_total_precip").count() == 0
+    bounds = daily.where("total_precip is not null").selectExpr("ec_station_id station_id", "datetime", "total_precip v")
+    near = links.join(bounds, "station_id").groupBy("active_station", "datetime").agg({"v": "min"}).withColumnRenamed("min(v)", "lo")
+    high = links.join(bounds, "station_id").groupBy("active_station", "datetime").agg({"v": "max"}).withColumnRenamed("max(v)", "hi")
+    made = filled.where("precip_intp_flag = 'interpolated' and total_precip is not null").withColumnRenamed("ec_station_id", "active_station")
+    checked = made.join(near, ["active_station", "datetime"]).join(high, ["active_station", "datetime"])
+    assert checked.count() == made.count() > 0
+    assert checked.where("total_precip < lo - 1e-9 or total_precip > hi + 1e-9").count() == 0
+    gapfill.write_interpolated(filled, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == daily.count()
