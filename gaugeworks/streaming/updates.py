@@ -27,8 +27,8 @@ def stream_updates(
     ``once`` processes what is there and stops; otherwise the query keeps watching.
     """
     files = (
-        spark.readStream.schema("value string").option("wholetext", True)
-        .option("maxFilesPerTrigger", files_per_batch).text(f"{raw}/*/{kind}/*.csv")
+        spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch)
+        .text(f"{raw}/*/{kind}/*.csv", wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
 
