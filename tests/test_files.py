@@ -71,6 +71,13 @@ def test_hourly_tree(spark, tree):
     assert (b.time, b.temp, b.wind_spd, b.weather) == ("13:00", None, 8.0, None)
 
 
+def test_delivered_files(spark, tree, tmp_path):
+    put(tmp_path / "raw/77/monthly/en_climate_monthly_BC_C77_1990-2000_P1M.csv", "x")
+    rows = {tuple(r) for r in observations.delivered_files(spark, tree).collect()}
+    assert rows == {("51", "daily", 1999, None), ("51", "daily", 2000, None), ("77", "daily", 2000, None),
+                    ("77", "hourly", 2000, 1), ("77", "monthly", None, None)}
+
+
 LISTING = ['Modified Date: 2023-01-01', '', '"Station Inventory, and a note"',
            '"Name","Province","Climate ID","Station ID","WMO ID","TC ID","Latitude (Decimal Degrees)",'
            '"Longitude (Decimal Degrees)","Latitude","Longitude","Elevation (m)","First Year","Last Year",'
@@ -141,3 +148,19 @@ def test_stream_inserts_each_file_once(spark, tree, tmp_path):
     run()
     assert stored().count() == 7
     assert stored().where("ec_station_id = '77'").agg({"total_precip": "sum"}).first()[0] == 11.0
+
+
+def test_command_line(spark, tree, tmp_path):
+    from gaugeworks.__main__ import arguments, run
+
+    out, listing = str(tmp_path / "out"), tmp_path / "list.csv"
+    put(listing, *LISTING)
+    common = ["--raw", tree, "--out", out, "--stations", str(listing)]
+    run(spark, arguments(["backfill", *common, "--maxdate", "2001-01"]))
+    run(spark, arguments(["update", *common]))
+    run(spark, arguments(["weights", "--out", out]))
+    run(spark, arguments(["fill", "--out", out, "--to", f"{out}/filled", "--station", "51", "--start", "2000-01-01"]))
+    assert spark.read.parquet(f"{out}/filled").count() == 2
+    run(spark, arguments(["gaps", *common, "BC", "--kind", "daily", "--start", "1999", "--to", f"{out}/gaps"]))
+    gaps = spark.read.option("header", True).csv(f"{out}/gaps").collect()
+    assert {(r.station_id, r.year) for r in gaps} == {("51", "2001"), *(("90", str(y)) for y in range(1999, 2006))}
