@@ -3,8 +3,8 @@
     python -m gaugeworks backfill --raw RAW --out OUT --stations LIST.csv --maxdate 2023-01
     python -m gaugeworks update   --raw RAW --out OUT --stations LIST.csv
     python -m gaugeworks weights  --out OUT
-    python -m gaugeworks fill     --out OUT --start 2021-09-21 --end 2022-05-25 --to FILLED [--station 51318 ...]
-    python -m gaugeworks gaps     --out OUT --raw RAW --kind daily --kind hourly [--start 2023-01] [--end 2023-06] BC YVR 51318
+    python -m gaugeworks fill     --out OUT --start 2020-01-01 --end 2020-12-31 --to FILLED [--station 123 ...]
+    python -m gaugeworks gaps     --out OUT --raw RAW --kind daily --kind hourly [--start 2023-01] [--end 2023-06] BC YVR 123
 """
 
 from __future__ import annotations
