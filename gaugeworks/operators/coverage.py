@@ -31,39 +31,40 @@ def station_keys(stations: DataFrame, provinces: DataFrame) -> DataFrame:
     return with_code.select("station_id", F.inline(names)).where(F.col("key").isNotNull())
 
 
-def _selector_table(stations: DataFrame, selectors: Iterable[str]) -> DataFrame:
-    """Selectors with the kind of name each one is; the caller's list, so it is small."""
-    rows = [(s,) for s in dict.fromkeys(selectors)]
-    table = stations.sparkSession.createDataFrame(rows, "selector string")
-    s = F.col("selector")
-    kind = (
-        F.when(s.rlike(r"^\p{L}{3}$"), "airport")
-        .when(s.rlike(r"^\d+$"), "station")
-        .when(F.length(s) == 2, "province")
-        .otherwise("invalid")
-    )
-    return table.select("selector", kind.alias("kind"))
+def _kind(selector: str) -> str:
+    """Which kind of name a selector is, by its shape."""
+    if len(selector) == 3 and selector.isalpha():
+        return "airport"
+    if selector.isdigit():
+        return "station"
+    return "province" if len(selector) == 2 else "invalid"
 
 
 def select_stations(stations: DataFrame, selectors: Iterable[str], provinces: DataFrame) -> DataFrame:
-    """Stations named by any selector, each once. ``all`` (lower case) means every station."""
-    wanted = list(selectors)
+    """Stations named by any selector, each once. ``all`` (lower case) means every station.
+
+    The selectors are the caller's short list and become a filter on the station table.
+    """
+    wanted = set(selectors)
     if EVERYTHING in wanted:
         return stations
-    keys = station_keys(stations, provinces)
-    table = _selector_table(stations, wanted).withColumnRenamed("selector", "key")
-    hits = keys.join(table, ["kind", "key"], "left_semi").select("station_id")
-    return stations.join(hits, "station_id", "left_semi")
+    named = {kind: [s for s in wanted if _kind(s) == kind] for kind in ("station", "airport", "province")}
+    coded = stations.join(provinces.select("province", "code"), "province", "left")
+    keep = (
+        F.col("station_id").isin(named["station"])
+        | ((F.length("tc_id") == 3) & F.col("tc_id").isin(named["airport"]))
+        | F.col("code").isin(named["province"])
+    )
+    return coded.where(keep).select(*stations.columns)
 
 
 def unmatched_selectors(stations: DataFrame, selectors: Iterable[str], provinces: DataFrame) -> DataFrame:
     """Selectors that name no station, with the kind of name they look like."""
-    wanted = list(selectors)
-    table = _selector_table(stations, wanted)
-    if EVERYTHING in wanted:
-        return table.where(F.lit(False))
-    keys = station_keys(stations, provinces).select("kind", F.col("key").alias("selector"))
-    return table.join(keys, ["selector", "kind"], "left_anti")
+    wanted = list(dict.fromkeys(selectors))
+    rows = [] if EVERYTHING in wanted else [(s, _kind(s)) for s in wanted]
+    table = stations.sparkSession.createDataFrame(rows, "selector string, kind string")
+    keys = station_keys(stations, provinces).where(F.col("key").isin(wanted))
+    return table.join(keys.select("kind", F.col("key").alias("selector")), ["selector", "kind"], "left_anti")
 
 
 def station_info(stations: DataFrame, selectors: Iterable[str], provinces: DataFrame) -> DataFrame:

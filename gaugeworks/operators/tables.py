@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,29 +21,26 @@ def before(df: DataFrame, as_of: dt.date | str, column: str = "datetime") -> Dat
     return df.where(F.col(column) < F.lit(str(as_of)).cast(df.schema[column].dataType))
 
 
-def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key, NULL keys included: the smallest by its remaining columns.
-
-    The choice does not depend on row order, and repeats are combined before the shuffle, so a key
-    that fills a third of the batch costs one row per task.
-    """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return best.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns))
-
-
 def rows_to_insert(
     batch: DataFrame, stored: DataFrame, keys: tuple[str, ...] = KEY, dedupe: bool = True
 ) -> DataFrame:
-    """Batch rows whose key is not stored yet. NULL keys equal each other."""
-    fresh = one_per_key(batch, *keys) if dedupe else batch
-    have = stored.select(*(F.col(k).alias(f"_have_{k}") for k in keys))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_have_{k}"))
-    return fresh.join(have, same, "left_anti")
+    """Batch rows whose key is not stored yet, one per key. NULL keys equal each other.
+
+    Both sides meet in a single grouping by key, combined before its one shuffle: a key that fills a
+    third of either side costs one row per task. Of several batch rows with one key the smallest by its
+    remaining columns stays, whatever their order. ``dedupe=False`` keeps them all, by an anti-join.
+    """
+    if not dedupe:
+        have = stored.select(*(F.col(k).alias(f"_have_{k}") for k in keys))
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys))
+        return batch.join(have, same, "left_anti")
+    rest = [c for c in batch.columns if c not in keys]
+    row = F.struct(F.lit(0).alias("_"), *rest)
+    offered = batch.select(*keys, row.alias("_row"), F.lit(False).alias("_stored"))
+    known = stored.select(*keys, F.lit(True).alias("_stored"))
+    by_key = offered.unionByName(known, allowMissingColumns=True).groupBy(*keys)
+    new = by_key.agg(F.min("_row").alias("_row"), F.max("_stored").alias("_stored")).where("not _stored")
+    return new.select(*(F.col(c if c in keys else f"_row.{c}").alias(c) for c in batch.columns))
 
 
 def in_batch_range(stored: DataFrame, batch: DataFrame, column: str = "datetime") -> DataFrame:

@@ -7,6 +7,7 @@ value is NULL (never NaN).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The columns of the published station list, in file order.
@@ -80,4 +81,5 @@ PROVINCES = (
 def provinces(spark: SparkSession, lang: str = "en") -> DataFrame:
     """The 13 provinces and territories as (code, province)."""
     at = {"en": 1, "fr": 2}[lang]
-    return spark.createDataFrame([(p[0], p[at]) for p in PROVINCES], "code string, province string")
+    rows = [(p[0], p[at]) for p in PROVINCES]
+    return F.broadcast(spark.createDataFrame(rows, "code string, province string"))
