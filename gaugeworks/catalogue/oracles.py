@@ -201,6 +201,8 @@ SQL: dict[str, str] = {
         select climate_id, ec_station_id, datetime, strftime(datetime, '%H:%M') as "time", {r6('temp')} from hourly
         where datetime < timestamp '2024-01-25' and (ec_station_id, datetime) not in (
           select cast(user_id as varchar), date_trunc('hour', ts) from events where event_type = 'click')""",
+    "insert_stream": f"""with {NEW_DAILY}
+        select 'C' || ec_station_id climate_id, ec_station_id, datetime, total_precip from batch""",
     "update_log": f"""with {NEW_DAILY} select 'daily' as "table", (select count(*) from batch) batch_rows,
         (select count(*) from fresh) inserted_rows, cast(min(datetime) as varchar) min_dt,
         cast(max(datetime) as varchar) max_dt from batch""",

@@ -5,6 +5,7 @@ Doubles are rounded to six places, and zero is added so that a negative zero pri
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,11 @@ from gaugeworks.functions import geo, stats
 from gaugeworks.functions import text as tx
 from gaugeworks.operators import climatology, coverage, gapfill, neighbours, tables, weights
 from gaugeworks.operators.union import union_by_name
-from gaugeworks.session import written
+from gaugeworks.session import shared_folder, written
 from gaugeworks.sources import observations, stations
+from gaugeworks.sources import tables as tables_io
 from gaugeworks.sources.tables import range_scan
+from gaugeworks.streaming import updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -210,6 +213,18 @@ def insert_hourly(spark, sf):
     return rounded(tables.rows_to_insert(batch, stored).select("climate_id", "ec_station_id", "datetime", "time", "temp"))
 
 
+@query
+def insert_stream(spark, sf):
+    """The whole daily table as a stream of files, inserted twice over into an empty table."""
+    folder = f"{shared_folder(spark)}/gaugeworks/stream-{uuid.uuid4().hex}"
+    rows = written(fx.daily(spark, sf), "arriving", f"{folder}/arriving")
+    tables_io.create_table(spark, f"{folder}/daily", "daily")
+    for run in ("first", "again"):
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/arriving")
+        updates.insert_stream(stream, folder, "daily", f"{folder}/{run}", lambda: "2001-06-01", once=True).awaitTermination()
+    return tables_io.read_observations(spark, f"{folder}/daily", "daily").select("climate_id", *OBSERVED)
+
+
 @query
 def update_log(spark, sf):
     """The log row of the daily insert, without its run time."""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.functions import calendar as cal
-from gaugeworks.session import written
+from gaugeworks.session import file_system, remove, staged
 from gaugeworks.sources import tables
 
 KEY = ("climate_id", "datetime")
@@ -56,21 +56,27 @@ def in_batch_range(stored: DataFrame, batch: DataFrame, column: str = "datetime"
 
 
 def incremental_insert(
-    batch: DataFrame, path: str, kind: str, as_of: dt.date | str, dedupe: bool = True
+    batch: DataFrame, path: str, kind: str, as_of: dt.date | str, dedupe: bool = True, stage: bool = True
 ) -> dict[str, object]:
     """Append the batch rows not stored yet to the table at ``path``; running twice adds nothing.
 
-    The cleaned batch is staged once, so raw files are parsed a single time. Returns the figures
-    for the update log.
+    The cleaned batch is staged for the duration, so raw files are parsed a single time (``stage=False``
+    where it is a stored table already). Returns the figures for the update log.
     """
-    spark = batch.sparkSession
-    staged = written(before(batch, as_of), f"batch-{kind}")
-    n, lo, hi = staged.agg(F.count(F.lit(1)), F.min("datetime"), F.max("datetime")).first()
+    current = before(batch, as_of)
+    if not stage:
+        return _insert(current, path, kind, dedupe)
+    with staged(current, f"batch-{kind}") as stored_batch:
+        return _insert(stored_batch, path, kind, dedupe)
+
+
+def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool) -> dict[str, object]:
+    n, lo, hi = batch.agg(F.count(F.lit(1)), F.min("datetime"), F.max("datetime")).first()
     facts = {"table": kind, "batch_rows": n, "inserted_rows": 0, "min_dt": None, "max_dt": None}
     if n:
-        stored = tables.range_scan(tables.read_observations(spark, path, kind), "datetime", lo, hi)
+        stored = tables.range_scan(tables.read_observations(batch.sparkSession, path, kind), "datetime", lo, hi)
         added = Observation()
-        tables.write_observations(rows_to_insert(staged, stored, dedupe=dedupe), path, watch=added)
+        tables.write_observations(rows_to_insert(batch, stored, dedupe=dedupe), path, watch=added)
         facts |= {"inserted_rows": added.get["n"], "min_dt": str(lo), "max_dt": str(hi)}
     return facts
 
@@ -148,15 +154,12 @@ def archive_snapshot(df: DataFrame, path: str, day: dt.date | str, keep: int = 3
 
     Up to ``keep + 1`` remain. Returns the dates dropped.
     """
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(path)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    prefix = "snapshot_date="
-    names = [s.getPath().getName() for s in fs.listStatus(base)] if fs.exists(base) else []
+    spark, prefix = df.sparkSession, "snapshot_date="
+    files, base = file_system(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(base)] if files.exists(base) else []
     dates = sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
     expired = [d for d in dates[:-keep] if d != str(day)]
     for d in expired:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(base, prefix + d), True)
+        remove(spark, f"{path}/{prefix}{d}")
     df.write.mode("overwrite").parquet(f"{path}/{prefix}{day}")
     return expired

@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from gaugeworks.operators import tables as upkeep
 from gaugeworks.plans.backfill import write_station_tables
+from gaugeworks.session import staged
 from gaugeworks.sources import observations
 
 
@@ -20,10 +21,11 @@ def update(
         write_station_tables(spark, station_list, out)
     rows = []
     for kind in kinds:
-        batch = observations.read_observation_tree(spark, raw, kind)
-        facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of)
-        upkeep.append_update_log(spark, f"{out}/update_log", facts, dt.datetime.now())
-        if keep_snapshots:
-            upkeep.archive_snapshot(batch, f"{out}/archive/{kind}", as_of, keep_snapshots)
+        parsed = observations.read_observation_tree(spark, raw, kind)
+        with staged(parsed, f"batch-{kind}") as batch:
+            facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of, stage=False)
+            upkeep.append_update_log(spark, f"{out}/update_log", facts, dt.datetime.now())
+            if keep_snapshots:
+                upkeep.archive_snapshot(batch, f"{out}/archive/{kind}", as_of, keep_snapshots)
         rows.append(facts)
     return rows

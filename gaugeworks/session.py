@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,16 +44,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def _scratch(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage and survives lost executors; unlike a checkpoint of rows, later reads
     still prune columns and push filters down.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
+    path = path or _scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like :func:`written`, for use within one step: the copy is removed when the step is over."""
+    path = _scratch(df.sparkSession, label)
+    try:
+        yield written(df, label, path)
+    finally:
+        remove(df.sparkSession, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a location, as the JVM sees them."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = file_system(spark, path)
+    files.delete(where, True)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -18,24 +18,30 @@ from gaugeworks.operators import tables as upkeep
 from gaugeworks.sources import observations
 
 
-def stream_updates(
-    spark: SparkSession, raw: str, out: str, kind: str, checkpoint: str,
-    as_of: Callable[[], dt.date] = dt.date.today, files_per_batch: int = 10_000, once: bool = False,
+def insert_stream(
+    rows: DataFrame, out: str, kind: str, checkpoint: str, as_of: Callable[[], dt.date] = dt.date.today,
+    once: bool = False,
 ) -> StreamingQuery:
-    """Start inserting files of one kind as they appear below ``raw``.
+    """Start inserting a stream of observations into the table ``<out>/<kind>``, logging each batch.
 
     ``once`` processes what is there and stops; otherwise the query keeps watching.
     """
+    def insert(batch: DataFrame, _: int) -> None:
+        facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of())
+        upkeep.append_update_log(batch.sparkSession, f"{out}/update_log", facts, dt.datetime.now())
+
+    writer = rows.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+
+
+def stream_updates(
+    spark: SparkSession, raw: str, out: str, kind: str, checkpoint: str,
+    as_of: Callable[[], dt.date] = dt.date.today, files_per_batch: int = 10_000, once: bool = False,
+) -> StreamingQuery:
+    """Start inserting raw files of one kind as they appear below ``raw``."""
     files = (
         spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch)
         .text(f"{raw}/*/{kind}/*.csv", wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
-
-    def insert(batch: DataFrame, _: int) -> None:
-        parsed = observations.parse_files(batch, kind)
-        facts = upkeep.incremental_insert(parsed, f"{out}/{kind}", kind, as_of())
-        upkeep.append_update_log(batch.sparkSession, f"{out}/update_log", facts, dt.datetime.now())
-
-    writer = files.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+    return insert_stream(observations.parse_files(files, kind), out, kind, checkpoint, as_of, once)
