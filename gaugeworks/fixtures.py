@@ -40,7 +40,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     airport = F.when(key % 4 == 0, F.concat(letter(key % 26), letter(F.floor(key / 26) % 26), letter(key % 7)))
     return (
         table(spark, sf_dir, "supplier")
-        .join(F.broadcast(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             key.cast("string").alias("station_id"),
             F.concat(F.lit("C"), key.cast("string")).alias("climate_id"),

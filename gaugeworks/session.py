@@ -16,7 +16,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     """A single-machine session for tests and benchmarks; clusters bring their own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         # Hash instead of sort where every shuffled partition is known to be small.
@@ -86,6 +86,8 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_gaugeworks_shipped", False):
         return
     package = Path(__file__).resolve().parent
+    if not package.is_dir():  # imported from an archive that was submitted with the application
+        return
     base = Path(tempfile.mkdtemp(prefix="gaugeworks-")) / package.name
     sc.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
     sc._gaugeworks_shipped = True

@@ -41,7 +41,7 @@ def stream_updates(
     """Start inserting raw files of one kind as they appear below ``raw``."""
     files = (
         spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch)
-        .text(f"{raw}/*/{kind}/*.csv", wholetext=True)
+        .option("pathGlobFilter", "*.csv").text(f"{raw}/*/{kind}", wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
     )
     return insert_stream(observations.parse_files(files, kind), out, kind, checkpoint, as_of, once)

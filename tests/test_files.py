@@ -78,6 +78,12 @@ def test_delivered_files(spark, tree, tmp_path):
                     ("77", "hourly", 2000, 1), ("77", "monthly", None, None)}
 
 
+def test_no_files_of_a_kind(spark, tmp_path):
+    put(tmp_path / "raw/77/daily/x_2000_P1D.csv", NEW, "2000-01-01,C77,8,HILL,?,45")
+    assert observations.read_observation_tree(spark, str(tmp_path / "raw"), "hourly").count() == 0
+    assert observations.read_observation_tree(spark, str(tmp_path / "raw"), "daily").count() == 1
+
+
 LISTING = ['Modified Date: 2023-01-01', '', '"Station Inventory, and a note"',
            '"Name","Province","Climate ID","Station ID","WMO ID","TC ID","Latitude (Decimal Degrees)",'
            '"Longitude (Decimal Degrees)","Latitude","Longitude","Elevation (m)","First Year","Last Year",'
