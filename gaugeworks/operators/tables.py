@@ -60,9 +60,12 @@ def incremental_insert(
 ) -> dict[str, object]:
     """Append the batch rows not stored yet to the table at ``path``; running twice adds nothing.
 
-    The cleaned batch is staged for the duration, so raw files are parsed a single time (``stage=False``
+    A missing table is created. The cleaned batch is staged for the duration, so raw files are parsed a single time (``stage=False``
     where it is a stored table already). Returns the figures for the update log.
     """
+    files, where = file_system(batch.sparkSession, path)
+    if not files.exists(where):
+        tables.create_table(batch.sparkSession, path, kind)
     current = before(batch, as_of)
     if not stage:
         return _insert(current, path, kind, dedupe)

@@ -75,3 +75,36 @@ def test_filled_values_lie_between_their_neighbours(spark, sf, tmp_path):
     assert checked.where("total_precip < lo - 1e-9 or total_precip > hi + 1e-9").count() == 0
     gapfill.write_interpolated(filled, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == daily.count()
+
+
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+}
+
+
+def test_same_result_without_any_broadcast(spark, monkeypatch):
+    """A station with most gaps, repeated rows, and every join shuffled with skewed partitions split."""
+    rows = [("hot", "H", D(2000, 1, 1) + dt.timedelta(i % 300), None) for i in range(900)]
+    rows += [(k, k, D(2000, 1, 1) + dt.timedelta(i), float(i + len(k))) for k in ("a", "bb") for i in range(0, 300, 2)]
+    rows += [("a", "a", D(2000, 1, 2), None)]
+    daily = written(spark.createDataFrame(rows, DAILY), "skew")
+    links = spark.createDataFrame([("hot", "a", 0.5), ("hot", "bb", 0.25), ("a", "bb", 0.1)],
+                                  "active_station string, station_id string, comp_weight double")
+    result = lambda: sorted(map(tuple, gapfill.interpolate_precip(daily, links).collect()), key=str)
+    want = result()
+    assert len(want) == len(rows) and sum(r[3] is not None for r in want) == 300 + 450
+    assert {r[-1] for r in want if r[0] == "hot"} == {0, 2}
+    before = {k: spark.conf.get(k, None) for k in SHUFFLED}
+    monkeypatch.setattr(gapfill, "FEW_LINKS", 0)
+    try:
+        for k, v in SHUFFLED.items():
+            spark.conf.set(k, v)
+        assert result() == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -40,6 +40,18 @@ def test_batch_range(spark):
     assert upkeep.in_batch_range(stored, batch.where("false")).count() == 0
 
 
+def test_insert_creates_a_missing_table_and_counts(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    rows = [("C1", "1", D(2000, 1, 1)), ("C1", "1", D(2000, 1, 1)), ("C1", "1", D(2001, 1, 1)), ("C1", "1", None)]
+    batch = spark.createDataFrame(rows, "climate_id string, ec_station_id string, datetime date")
+    facts = upkeep.incremental_insert(batch, path, "daily", D(2001, 1, 1))
+    assert facts == {"table": "daily", "batch_rows": 2, "inserted_rows": 1, "min_dt": "2000-01-01", "max_dt": "2000-01-01"}
+    assert upkeep.incremental_insert(batch, path, "daily", D(2001, 1, 2))["inserted_rows"] == 1
+    empty = upkeep.incremental_insert(batch.where("false"), path, "daily", D(2001, 1, 2))
+    assert (empty["batch_rows"], empty["inserted_rows"], empty["min_dt"]) == (0, 0, None)
+    assert tables.read_observations(spark, path, "daily").count() == 2
+
+
 @pytest.mark.parametrize("start, end, n", [(None, None, 3), ("2000-01-01", None, 2), (None, "2000-01-01", 2), ("2000-01-01", "2000-01-01", 1)])
 def test_range_scan(spark, start, end, n):
     df = spark.createDataFrame([("a", D(1999, 12, 31), 1), ("a", D(2000, 1, 1), 1), ("a", D(2001, 1, 1), 1)], ROW)
