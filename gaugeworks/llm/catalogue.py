@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import byte_bpe, language_id, token_counts, token_files
+from gaugeworks.llm import (
+    byte_bpe,
+    decontaminate,
+    embedding_dups,
+    language_id,
+    line_dedup,
+    lm,
+    near_dups,
+    substring_dedup,
+    token_counts,
+    token_files,
+)
 from gaugeworks.session import shared_folder
 
 
@@ -25,6 +36,10 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
@@ -33,6 +48,25 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents"), 50)[0]
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 5) == 1, F.lit(False))
+    found = lm.score(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,11 +86,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), 4096)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
-    "op2_language_id": op2_language_id,
-    "op7_byte_bpe": op7_byte_bpe,
-    "op8_token_files": op8_token_files,
-    "op9_token_counts": op9_token_counts,
+    f.__name__: f
+    for f in (op1_minhash_dedup, op2_language_id, op3_substring_dedup, op4_decontaminate, op5_embedding_dedup, op6_lm_score,
+              op7_byte_bpe, op8_token_files, op9_token_counts, op10_line_dedup)
 }
 
 SQL: dict[str, str] = {}
