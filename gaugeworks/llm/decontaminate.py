@@ -6,6 +6,9 @@ span of that length is missed. Documents that share a fingerprint with an item a
 extended exactly: each window of an item's words is looked up among the document's windows, word by word.
 
 An item of fewer words than a window is one window; for it, all runs of its length count as fingerprints.
+
+Arrays are exploded as outer arrays: for others the optimizer tests the size of the array first, which computes it once
+more and, pushed below the steps before it, many times over.
 """
 
 from __future__ import annotations
@@ -22,12 +25,12 @@ GRAM, WINDOW = 5, 6
 SPAN = GRAM + WINDOW - 1
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """Words in lower case (A-Z): runs of ASCII letters and digits and of all characters beyond ASCII."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), F.lit(_WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _BETWEEN), "")
 
 
 def _indices(count: Column) -> Column:
@@ -75,12 +78,13 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     item_words = items.select(F.col(item_col).alias("item"), words(F.col(item_text_col).cast("string")).alias("words")).where(F.size("words") > 0)
     lengths = item_words.select(F.size("words").alias("n")).where(F.col("n") < SPAN).distinct().collect()  # nine at most
     short = sorted(row.n for row in lengths)
-    item_windows = written(item_words.select("item", F.explode(F.when(F.size("words") < SPAN, F.array(
+    item_windows = written(item_words.select("item", F.explode_outer(F.when(F.size("words") < SPAN, F.array(
         F.struct(F.lit(0).alias("at"), F.size("words").alias("n"), F.array_join("words", " ").alias("window")))).otherwise(
             _windows([SPAN]))).alias("w")).select("item", "w.n", "w.window").distinct(), "item-windows")
     long_items = _with_fingerprints(item_words.where(F.size("words") >= SPAN), [])
     whole = [_with_fingerprints(item_words.where(F.size("words") == n), [n]) for n in short]
-    item_prints = written(reduce(DataFrame.unionByName, [long_items, *whole]).select(F.explode("prints").alias("print")).distinct(), "item-prints")
+    item_prints = written(reduce(DataFrame.unionByName, [long_items, *whole]).select(
+        F.explode_outer("prints").alias("print")).where("print is not null").distinct(), "item-prints")
 
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("hash"))
@@ -93,7 +97,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     candidates = found.where("found = 1").select(F.col("id").alias("i"), F.col("hash").alias("h"))
     of = candidates.join(texts, F.col("i").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash"))).select("id", "hash", words(F.col("text")).alias("words"))
-    spots = of.select("id", "hash", F.explode(_windows([SPAN, *short])).alias("w")).select("id", "hash", "w.at", "w.n", "w.window")
+    spots = of.select("id", "hash", F.explode_outer(_windows([SPAN, *short])).alias("w")).select("id", "hash", "w.at", "w.n", "w.window")
     hits = spots.join(item_windows, ["window", "n"]).groupBy("id", "hash").agg(
         F.collect_set(F.struct("at", "n")).alias("spans"), F.collect_set(F.col("item").cast("string")).alias("items"))
     hit_words = F.flatten(F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
