@@ -58,11 +58,11 @@ class Model:
     def likelihoods(self, distinct: list[str]) -> np.ndarray:
         """Log-likelihood of each word by language, less that of its best language."""
         out = np.zeros((len(distinct), len(self.languages)), np.float64)
-        if distinct:
+        if distinct and self.languages:
             word, bucket = trigrams(distinct)
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             out[word[first]] = np.add.reduceat(self.table[bucket], first, axis=0)
-        return np.maximum(out - out.max(axis=1, keepdims=True), FLOOR)
+        return np.maximum(out - out.max(axis=1, keepdims=True, initial=-np.inf), FLOOR)
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", smoothing: float = 0.5) -> Model:

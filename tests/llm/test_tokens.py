@@ -1,0 +1,119 @@
+"""Tokenisers against the libraries: byte-level BPE, token files, token counts."""
+
+import base64
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+import tiktoken
+from tokenizers import Tokenizer
+
+from gaugeworks.llm import byte_bpe, token_counts, token_files
+from gaugeworks.llm.catalogue import QUERIES
+from gaugeworks.session import shared_folder
+from tests.llm.brute import sha
+
+RANKS, WORDS, PIECES = (public_tokenizers.path(x) for x in ("byte_bpe_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def odd_texts():
+    random.seed(4)
+    parts = list("abÉ  \n\t'sé漢Σσ字😀 ́ 0123!?ABCthe \x00\x1c▁") + [
+        "the ", "<|startoftext|>", "<|ENDOFTEXT|>", "<s>", "</s>", "<0x0A>", "ΟΔΟΣ", "can't ", "a.", "b!? ", "≮", "É,", "≠", "   ", "\r\n"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 50))) for _ in range(400)]
+    return texts + ["a" * 3000, "ab" * 2000, " " * 4000, "the " * 3000, "é" * 2500, "!?" * 1500, "\n" * 900 + "x"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_byte_bpe_splits_and_merges_as_the_library(odd_texts, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "PART", 13)
+    use = byte_bpe.Coder(RANKS, public_tokenizers.PATTERN)
+    for text in odd_texts:
+        assert "".join(byte_bpe.parts(text, 13)) == text
+        ids = use.encode(text)
+        assert ids == library.encode_ordinary(text)
+        assert use.decode(ids) == text.encode()
+
+
+def test_byte_bpe_round_trip(hand_docs, hand_rows, library):
+    found = byte_bpe.round_trip(hand_docs, RANKS, public_tokenizers.PATTERN).collect()
+    want = []
+    for id_, text in hand_rows:
+        ids = library.encode_ordinary(text or "")
+        want.append((id_, len(ids), sha(" ".join(map(str, ids))), sha(text or "")))
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_byte_bpe_encode_then_decode(hand_docs, hand_rows):
+    coded = byte_bpe.encode(hand_docs, RANKS, public_tokenizers.PATTERN)
+    back = byte_bpe.decode(coded, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted((r.doc_id, bytes(r.data)) for r in back) == sorted((i, (t or "").encode()) for i, t in hand_rows)
+
+
+def test_pieces_merge_as_the_library(odd_texts, monkeypatch):
+    monkeypatch.setattr(token_counts, "LONG", 40)
+    library, use = sentencepiece.SentencePieceProcessor(model_file=PIECES), token_counts.model(PIECES)
+    for text in odd_texts:
+        assert use.counts(token_counts.pre_tokens(text)).sum() == len(library.encode(text))
+
+
+def test_token_counts(hand_docs, hand_rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    found = token_counts.count_tokens(hand_docs, PIECES, limit=1000).collect()
+    counts = [(i, len((t or "").encode()), len(library.encode(t or ""))) for i, t in hand_rows]
+    assert sorted(map(tuple, found)) == sorted((*c, c[2] > 1000) for c in counts)
+
+
+def test_words_are_encoded_as_texts_are(odd_texts):
+    library = Tokenizer.from_file(WORDS)
+    for by_words in (True, False):
+        found = token_files.Encoder(WORDS, 2, by_words)([x.encode() for x in odd_texts])
+        for text, ids in zip(odd_texts, found, strict=True):
+            assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("repeats", [1, 2])
+def test_token_files(spark, make, hand_rows, repeats):
+    library = Tokenizer.from_file(WORDS)
+    rows = [*hand_rows * repeats, (None, "no name"), (None, None)]
+    folder = f"{shared_folder(spark)}/gaugeworks/test-tokens-{repeats}-{random.getrandbits(60)}"
+    manifest = token_files.write_shards(make(rows), folder, WORDS, end_id=1, by_words=True)
+    found = sorted(map(tuple, token_files.read_shards(spark, manifest).collect()), key=lambda r: r[1])
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    want, start = [], 0
+    for id_, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        want.append((id_, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert found == want
+    assert manifest.agg({"n_ids": "sum"}).first()[0] == start
+
+
+def test_empty_tables(spark, empty_docs):
+    folder = f"{shared_folder(spark)}/gaugeworks/test-tokens-{random.getrandbits(60)}"
+    assert byte_bpe.round_trip(empty_docs, RANKS, public_tokenizers.PATTERN).count() == 0
+    assert token_counts.count_tokens(empty_docs, PIECES).count() == 0
+    assert token_files.read_shards(spark, token_files.write_shards(empty_docs, folder, WORDS, 1, True)).count() == 0
+
+
+def test_queries(spark, sf, small):
+    library, pieces = Tokenizer.from_file(WORDS), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    files = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, sf).collect()}
+    counts = {r.doc_id: r for r in QUERIES["op9_token_counts"](spark, sf).collect()}
+    coded = {r.doc_id: r for r in QUERIES["op7_byte_bpe"](spark, sf).collect()}
+    start = 0
+    for id_, text in sorted(small):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 1]
+        assert (files[id_].start, files[id_].n_tokens, files[id_].ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        assert counts[id_].n_tokens == len(pieces.encode(text))
+        assert coded[id_].decoded_sha256 == sha(text)
+        start += len(ids)
