@@ -5,10 +5,16 @@ A document's set holds its distinct runs of ``words`` words in lower case, as 64
 ``MANTISSA`` bits after them, 16 bits in all. An empty bucket borrows from the first filled one in an order of its own, the
 same for all documents. Bands of ``ROWS`` registers are hashed; documents that share a band are candidates.
 
-Equal sets become one node first. The members of a band are compared with its least node; after that, only members of
-different groups are compared, so a group of thousands of copies makes about one pair for each of them and no link that
-could change a group is left out. A pair's similarity is estimated from equal registers, less those that are equal by
+Equal sets become one node first, named by a hash. The members of a band are compared with its least node, so a group of thousands of copies
+makes about one pair for each of them. A pair's similarity is estimated from equal registers, less those that are equal by
 accident, and pairs that are not far below the threshold are verified on their full sets.
+
+Members that did not link to that node may still link to each other. They are found without pairing all of them, and
+without leaving out any. Take a cluster, all that candidate pairs connect, and its core, the shingles that more than half of
+its members hold. First the member nearest to the core is compared with all that are not in its group. Then, for members x
+and y of different groups that hold i of their n shingles in the core, at most min(i) shared shingles lie within it. So
+either min(i) alone reaches the threshold, or they share a shingle outside it; of those, only the rarest of each member need
+be looked up (a prefix filter). What members of a cluster share beyond its core is rare, and so are such pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import U, blob, mix, runs_of, slices, words_of
-from gaugeworks.llm.graph import components, cross_pairs, hub_pairs
+from gaugeworks.llm.graph import components, hub_pairs
 from gaugeworks.session import ship_package, written
 
 BUCKET_BITS, MANTISSA, ROWS = 7, 10, 4
@@ -116,7 +122,8 @@ def _sets(n: int):
             sets = shingle_sets(batch.column("text"), n)
             fits = [blake2b(x.tobytes(), digest_size=16).digest() == d for x, d in zip(sets, batch.column("digest").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([blob(x) for x in sets], pa.binary())], ["node", "items"]).filter(pa.array(fits))
+                [batch.column("node"), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                ["node", "n", "items"]).filter(pa.array(fits))
 
     return work
 
@@ -139,38 +146,105 @@ def _estimate(percent: int):
 
 
 def _verify(percent: int):
+    def lists(column: pa.ListArray) -> list[np.ndarray]:
+        return np.split(column.flatten().to_numpy().view(U), np.cumsum(column.value_lengths().to_numpy())[:-1])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for a, b in zip(batch.column("ia").to_pylist(), batch.column("ib").to_pylist(), strict=True):
-                a, b = np.frombuffer(a, U), np.frombuffer(b, U)
-                at = np.minimum(np.searchsorted(a, b), len(a) - 1)
-                both = int((a[at] == b).sum())
-                good.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            if batch.num_rows:
+                good = []
+                for a, b in zip(lists(batch.column("ia")), lists(batch.column("ib")), strict=True):
+                    both = int((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).sum())
+                    good.append(100 * both >= percent * (len(a) + len(b) - both))
+                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return work
 
 
 class _Comparison:
-    """Estimates and verifies candidate pairs of one corpus."""
+    """Estimates and verifies candidate pairs of nodes whose ``sets`` (node, n, items) are stored."""
+
+    schema = "a long, b long"
 
-    def __init__(self, texts: DataFrame, nodes: DataFrame, n: int, percent: int):
-        self.texts, self.nodes, self.n, self.percent = texts, nodes, n, percent
-        self.kind = texts.schema["id"].dataType.simpleString()
+    def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
+        self.nodes, self.sets, self.percent = nodes, sets, percent
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs`` (a, b) that reach the threshold."""
-        schema = f"a {self.kind}, b {self.kind}"
-        side = lambda s: self.nodes.select(F.col("node").alias(s), F.col("registers").alias(f"r{s}"), F.col("n").alias(f"n{s}"))
-        likely = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimate(self.percent), schema)
-        likely = written(likely.distinct(), "likely-pairs")
-        wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-        digests = self.nodes.select(F.col("node").alias("id"), "digest").join(wanted, "id", "left_semi")
-        sets = written(self.texts.join(digests, "id").mapInArrow(_sets(self.n), f"node {self.kind}, items binary"), "sets")
-        sides = likely.join(sets.select(F.col("node").alias("a"), F.col("items").alias("ia")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("items").alias("ib")), "b")
-        return written(sides.mapInArrow(_verify(self.percent), schema).distinct(), "links")
+        sketches = lambda s: self.nodes.select(F.col("node").alias(s), F.col("registers").alias(f"r{s}"), F.col("n").alias(f"n{s}"))
+        items = lambda s: self.sets.select(F.col("node").alias(s), F.col("items").alias(f"i{s}"))
+        likely = pairs.join(sketches("a"), "a").join(sketches("b"), "b").mapInArrow(_estimate(self.percent), self.schema).distinct()
+        sides = likely.join(items("a"), "a").join(items("b"), "b")
+        return written(sides.mapInArrow(_verify(self.percent), self.schema).distinct(), "links")
+
+
+def _regrouped(df: DataFrame, links: DataFrame) -> DataFrame:
+    """``df`` (with ``node``) and the ``root`` that the links lead to."""
+    return df.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _profiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """cluster, node, root, n, inner (shingles in the core), core (its size) and rare, those outside that must be looked up.
+
+    ``members`` is (cluster, size, node, root). ``rare`` is the prefix of a node's other shingles by their number of members,
+    long enough to hold one of every ``ceil(percent / 100 * n) - inner`` of them.
+    """
+    held = members.join(sets, "node")
+    items = held.select("cluster", "size", "node", F.explode_outer("items").alias("item"))
+    counts = items.groupBy("cluster", "item").agg(F.count("*").alias("times"), F.first("size").alias("size")).where("times > 1")
+    counts = written(counts.select("cluster", "item", "times", (F.col("times") * 2 > F.col("size")).alias("inner")), "shingle-counts")
+    cores = counts.where("inner").groupBy("cluster").agg(F.count("*").alias("core"))
+    outer = F.when(~F.col("inner"), F.struct("times", "item"))
+    common = items.join(counts, ["cluster", "item"]).groupBy("cluster", "node").agg(
+        F.sum(F.col("inner").cast("long")).alias("inner"), F.array_sort(F.collect_list(outer)).alias("outer"))
+    known = held.select("cluster", "node", "root", "n").join(common, ["cluster", "node"], "left").join(cores, "cluster", "left")
+    known = known.withColumns({"inner": F.coalesce("inner", F.lit(0)), "core": F.coalesce("core", F.lit(0)),
+                               "outer": F.coalesce("outer", F.expr("cast(array() as array<struct<times: bigint, item: bigint>>)"))})
+    needed = F.ceil(F.col("n") * percent / 100) - F.col("inner")
+    alone = F.col("n") - F.col("inner") - F.size("outer")  # shingles of no other member come first
+    length = F.col("n") - F.col("inner") - F.greatest(needed, F.lit(1)) + 1 - alone
+    rare = F.transform(F.slice("outer", 1, F.greatest(length, F.lit(0)).cast("int")), lambda x: x["item"])
+    return written(known.select("cluster", "node", "root", "n", "inner", "core", rare.alias("rare")), "profiles")
+
+
+def _beyond_hubs(profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different groups that may reach the threshold, by core and rare shingles."""
+    x_, y_ = "x.", "y."
+    apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
+    near = profiles.select("cluster", "node", "root", "n", "inner").where(F.col("inner") * 100 >= F.col("n") * percent)
+    within = F.least(x_ + "inner", y_ + "inner") * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    by_core = near.alias("x").join(near.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & apart & within)
+    looked_up = profiles.select("cluster", "node", "root", "n", F.explode("rare").alias("item"))
+    sizes = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    by_item = looked_up.alias("x").join(looked_up.alias("y"), (F.col("x.cluster") == F.col("y.cluster")) & (
+        F.col("x.item") == F.col("y.item")) & apart & sizes)
+    pair = [F.col("x.node").alias("a"), F.col("y.node").alias("b")]
+    return by_core.select(pair).unionByName(by_item.select(pair)).distinct()
+
+
+def _links(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between nodes: all that decide which nodes belong together."""
+    _, pairs = hub_pairs(nodes.select(F.explode_outer("bands").alias("key"), "node"))
+    pairs = written(pairs, "band-pairs")
+    clusters = components(pairs).withColumnRenamed("root", "cluster")
+    wanted = nodes.select("node", "first", "digest").join(clusters.select("node"), "node", "left_semi")
+    # Rows that repeat id and text give their set once.
+    found = texts.withColumn("hash", F.xxhash64("text")).join(wanted, F.col("id") == F.col("first")).dropDuplicates(["id", "digest", "hash"])
+    sets = written(found.select("node", "digest", "text").mapInArrow(_sets(words), "node long, n long, items array<long>"), "sets")
+    compare = _Comparison(nodes, sets.select("node", "items"), percent)
+    links = compare.links(pairs)
+
+    grouped = _regrouped(clusters, links)
+    mixed = grouped.groupBy("cluster").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).where("low < high")
+    profiles = _profiles(written(grouped.join(mixed.select("cluster", "size"), "cluster"), "open-clusters"), sets, percent)
+    nearness = F.col("inner") / (F.col("n") + F.col("core") - F.col("inner"))
+    centres = profiles.groupBy("cluster").agg(F.max_by(F.struct("node", "root"), F.struct(nearness, "node")).alias("centre"))
+    to_centre = profiles.join(centres, "cluster").where(F.col("root") != F.col("centre.root"))
+    tried = written(to_centre.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct(), "centre-pairs")
+    links = links.unionByName(compare.links(tried))
+
+    rest = _beyond_hubs(_regrouped(profiles.drop("root"), links), percent)
+    return links.unionByName(compare.links(rest))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,7 +252,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     Rows are linked if 100 * shared shingles >= ``percent`` * shingles of either; ``component_id`` is the smallest id that
     links lead to, the row's own included, and ``kept`` tells that it is the row's own. A text without words has no shingles
-    and no links, like a row with a null id (component_id null, kept). Rows that share an id share its links. An empty table
+    and no links, like a row with a null id (component_id null, kept). Rows that share an id are judged one by one. An empty table
     gives an empty one; other columns are left out.
     """
     spark = docs.sparkSession
@@ -187,18 +261,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     kind = texts.schema["id"].dataType.simpleString()
     rows = written(texts.mapInArrow(_scan(words), f"id {kind}, n long, digest binary, registers binary, bands array<long>"), "sketches")
     full = rows.where("n > 0 and id is not null")
-    classes = full.groupBy("digest").agg(F.min("id").alias("node"))
-    first = full.join(classes.withColumnRenamed("digest", "d"), (F.col("id") == F.col("node")) & (F.col("digest") == F.col("d")))
-    nodes = written(first.select("node", "n", "digest", "registers", "bands").dropDuplicates(["node", "digest"]), "nodes")
-
-    compare = _Comparison(texts, nodes, words, percent)
-    shared, pairs = hub_pairs(nodes.select(F.explode("bands").alias("key"), "node"))
-    links = compare.links(pairs)
-    rest = cross_pairs(shared, components(links)).join(pairs, ["a", "b"], "left_anti")
-    roots = components(links.unionByName(compare.links(rest)))
+    classes = full.groupBy("digest").agg(F.min("id").alias("first")).withColumn("node", F.xxhash64("digest"))
+    firsts = full.join(classes.select(F.col("digest").alias("d"), "first", "node"), (F.col("id") == F.col("first")) & (F.col("digest") == F.col("d")))
+    nodes = written(firsts.select("node", "first", "n", "digest", "registers", "bands").dropDuplicates(["node"]), "nodes")
 
-    to = classes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
+    of = _regrouped(classes, _links(nodes, texts, words, percent))
+    names = of.groupBy("root").agg(F.min("first").alias("component"))
+    to = of.join(names, "root").select("digest", "component")
     out = rows.select("id", "n", "digest").join(to, "digest", "left")
-    component = F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("root"))
+    component = F.when(F.col("id").isNull() | (F.col("n") == 0), F.col("id")).otherwise(F.col("component"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
