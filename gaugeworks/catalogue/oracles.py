@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from gaugeworks import schemas
+
 DAILY = """daily as (
   select cast(l_suppkey as varchar) ec_station_id, cast(l_shipdate as date) datetime,
          max(case when l_returnflag <> 'R' then l_quantity end) total_precip
@@ -89,6 +91,11 @@ fresh as (
   where (ec_station_id, datetime) not in (
     select cast(l_suppkey as varchar), cast(l_shipdate as date) from lineitem where l_linestatus = 'F'))"""
 
+ADDED_DAILY = NEW_DAILY + """,
+added as (
+  select case when cast(ec_station_id as int) % 10 <> 0 then 'C' || ec_station_id end climate_id, * from batch
+  where cast(ec_station_id as int) % 10 = 0 or (ec_station_id, datetime) in (select ec_station_id, datetime from fresh))"""
+
 SELECTORS = "'DD', '7', '42', 'EAE', 'IAB', 'ZZZ', '999999999', 'QQ', 'x', 'north shore'"
 
 KEYS = STATIONS + """,
@@ -166,6 +173,26 @@ _F = f"ec_station_id, datetime, {r6('total_precip')}, {r6('og_total_precip')}, p
 _OBSERVED = "select ec_station_id, datetime, total_precip from daily where "
 _LISTED = 'select station_id, "name", province, tc_id from '
 
+# What the raw files hold of the 32 and 31 columns; the others are NULL.
+READ_DAILY = {
+    "ec_station_id": "ec_station_id", "climate_id": "'C' || ec_station_id", "station_name": "'Station ' || ec_station_id",
+    "datetime": "datetime", "year": "year(datetime)", "month": "month(datetime)", "day": "day(datetime)", "total_precip": "total_precip",
+    "spd_of_max_gust": "case when year(datetime) < 1998 then cast(day(datetime) + 30 as double) end",
+    "spd_of_max_gust_flag": "case when year(datetime) < 1998 then 'E' end",
+}
+READ_HOURLY = {
+    "ec_station_id": "ec_station_id", "climate_id": "climate_id", "datetime": "datetime", "time": "strftime(datetime, '%H:%M')",
+    "temp": "round(temp, 6) + 0.0", "weather": "'Rain,Fog'",
+}
+
+
+def _whole(kind: str, known: dict[str, str]) -> str:
+    """Every column of a table of observations."""
+    types = {"string": "varchar", "timestamp_ntz": "timestamp"}
+    fields = [(f.name, f.dataType.simpleString()) for f in schemas.observation_schema(kind)]
+    return ", ".join(f'{known.get(c, f"cast(null as {types.get(t, t)})")} "{c}"' for c, t in fields)
+
+
 SQL: dict[str, str] = {
     "rep_year": f"""with {REP_YEAR}
         select ec_station_id, 'Station ' || ec_station_id station_name, idx as "index",
@@ -178,16 +205,16 @@ SQL: dict[str, str] = {
     "distance_range": f"""with {PAIRS} select active_station station_id, {r6('min_distance', 'min(distance)')},
         {r6('max_distance', 'max(distance)')} from pairs group by 1""",
     "nearest_stations": f"""with {PAIRS}
-        select active_station, station_id, {r6('distance')} from ranked where nth <= 10""",
+        select active_station, station_id, {r6('distance')} from ranked where nth <= 300""",
     "distance_weight": f"""with {PAIRS} select active_station, station_id,
         {r6('dist_weight', '1 - (distance - lo) / nullif(hi - lo, 0)')} from ranked where nth <= 300""",
     "rep_year_corr": f"""with {WEIGHTS} select active_station, station_id, {r6('distance')}, {r6('corr', 'r')}
-        from ranked left join matched using (active_station, station_id) where nth <= 10""",
+        from ranked left join matched using (active_station, station_id) where nth <= 300""",
     "pairwise_weights": f"with {WEIGHTS} select {_W} from weights where nth <= 300",
     "station_weights_top": f"with {WEIGHTS} select {_W} from best where place <= 100",
     "stored_weights_top": f"""with {WEIGHTS}, near as (
         select *, row_number() over (partition by active_station order by comp_weight desc, station_id) spot
-        from weights where nth <= 300 and comp_weight > 0) select {_W} from near where spot <= 20""",
+        from weights where nth <= 300 and comp_weight > 0) select {_W} from near where spot <= 100""",
     "interpolate_precip": f"with {EVERYTHING} select {_F} from filled",
     "interpolate_range": "with " + FILLED.format(period="datetime between date '1996-02-01' and date '1997-06-30'")
         + f" select {_F} from filled",
@@ -196,16 +223,21 @@ SQL: dict[str, str] = {
     "range_scan_both": f"with {DAILY} {_OBSERVED} datetime between date '1996-02-01' and date '1997-12-31'",
     "range_scan_start": f"with {DAILY} {_OBSERVED} datetime >= date '1999-07-15'",
     "range_scan_end": f"with {DAILY} {_OBSERVED} datetime <= date '1996-02-29'",
-    "insert_daily": f"with {NEW_DAILY} select climate_id, ec_station_id, datetime, total_precip from fresh",
+    "interpolated_record": f"with {EVERYTHING} select {_F} from filled",
+    "range_scan_hourly": f"""with {HOURLY} select ec_station_id, datetime, {r6('temp')} from hourly
+        where datetime >= timestamp '2024-01-10' and datetime < timestamp '2024-01-21'""",
+    "insert_daily": f"with {ADDED_DAILY} select climate_id, ec_station_id, datetime, total_precip from added",
     "insert_hourly": f"""with {HOURLY}
-        select climate_id, ec_station_id, datetime, strftime(datetime, '%H:%M') as "time", {r6('temp')} from hourly
-        where datetime < timestamp '2024-01-25' and (ec_station_id, datetime) not in (
-          select cast(user_id as varchar), date_trunc('hour', ts) from events where event_type = 'click')""",
+        select case when cast(ec_station_id as int) % 10 <> 0 then climate_id end climate_id, ec_station_id, datetime,
+          strftime(datetime, '%H:%M') as "time", {r6('temp')} from hourly
+        where datetime < timestamp '2024-01-25' and (cast(ec_station_id as int) % 10 = 0 or (ec_station_id, datetime) not in (
+          select cast(user_id as varchar), date_trunc('hour', ts) from events where event_type = 'click'))""",
     "insert_stream": f"""with {NEW_DAILY}
         select 'C' || ec_station_id climate_id, ec_station_id, datetime, total_precip from batch""",
-    "update_log": f"""with {NEW_DAILY} select 'daily' as "table", (select count(*) from batch) batch_rows,
-        (select count(*) from fresh) inserted_rows, cast(min(datetime) as varchar) min_dt,
-        cast(max(datetime) as varchar) max_dt from batch""",
+    "update_log": f"""with {ADDED_DAILY}, runs(run) as (values (1), (2))
+        select 'daily' as "table", run, 2 * count(*) batch_rows, case when run = 1 then (select count(*) from added) else 0 end inserted_rows,
+          cast(min(datetime) as varchar) min_dt, cast(max(datetime) as varchar) max_dt from batch, runs group by run""",
+    "last_update": """select 'daily' as "table", 2 run, 0 inserted_rows""",
     "truncate_daily": f"with {DAILY} {_OBSERVED} datetime < date '2000-03-01'",
     "truncate_hourly": f"with {DAILY} {_OBSERVED} datetime < date '1998-07-01'",
     "truncate_hourly_strict": f"with {DAILY} {_OBSERVED} year(datetime) < 1998 or month(datetime) <= 6",
@@ -231,7 +263,8 @@ SQL: dict[str, str] = {
         union all select station_id, 'name', "name" from chosen
         union all select station_id, 'province', province from chosen
         union all select station_id, 'tc_id', tc_id from chosen
-        union all select station_id, 'dly_first_year', cast(dly_first_year as varchar) from chosen""",
+        """ + " ".join(f"union all select station_id, '{c}', cast({c} as varchar) from chosen" for c in (
+            "lat", "lon", "dly_first_year", "dly_last_year", "hly_first_year", "hly_last_year", "mly_first_year", "mly_last_year")),
     **{f"clip_period_{p}": "with " + _clip(p) + """ select station_id, kind, strftime(first_day, '%Y-%m') first_month,
         strftime(last_day, '%Y-%m') last_month from clipped""" for p in ("open", "start", "end", "range", "date")},
     "plan_daily": _plan("open", "'daily'"),
@@ -248,24 +281,25 @@ SQL: dict[str, str] = {
     "clean_names": """select p_partkey, lower(replace(trim(replace(regexp_replace(
         ' Stn. ' || p_brand || ' (' || p_type || ') ' || p_name || ' Flag (%) ', '\\(.*\\)', '', 'g'), '.', '')),
         ' ', '_')) column_name from part""",
-    "matching_columns": "select o_custkey, o_orderkey, cast(floor(o_totalprice) as bigint) o_totalprice from orders",
-    "parse_dates": """select o_orderkey, case when o_orderstatus = 'F' then cast(o_orderdate as date) end as "day",
-        case when o_orderstatus = 'F' then date_trunc('minute', o_orderdate) end as "minute",
+    "matching_columns": """select * exclude (c_custkey, o_orderdate) replace (cast(floor(o_totalprice) as bigint) as o_totalprice,
+        cast(floor(c_acctbal) as bigint) as c_acctbal) from orders join customer on c_custkey = o_custkey""",
+    "parse_dates": """select o_orderkey, case when o_orderstatus in ('F', 'O') or o_orderkey % 3 = 0 then cast(o_orderdate as date) end as "day",
+        case when o_orderstatus in ('F', 'O') then date_trunc('minute', o_orderdate) end as "minute",
         case o_orderstatus when 'F' then cast(date_trunc('year', o_orderdate) as date)
           when 'O' then cast(date_trunc('month', o_orderdate) as date) end as "month" from orders""",
     "update_window": """select o_orderkey, strftime(cast(o_orderdate as date) - 31, '%Y-%m') first_month,
         strftime(o_orderdate, '%Y-%m') last_month from orders""",
     "stack_tables": """select o_orderkey id, o_totalprice price, cast(null as double) tax from orders
         union all select l_orderkey, null, l_tax from lineitem""",
-    "ingest_daily": f"""with {DAILY}
-        select ec_station_id, 'C' || ec_station_id climate_id, 'Station ' || ec_station_id station_name, datetime,
-          year(datetime) "year", month(datetime) "month", day(datetime) "day", total_precip,
-          case when year(datetime) < 1998 then cast(day(datetime) + 30 as double) end spd_of_max_gust,
-          case when year(datetime) < 1998 then 'E' end spd_of_max_gust_flag,
-          cast(null as varchar) data_quality, cast(null as double) max_temp from daily""",
-    "ingest_hourly": f"""with {HOURLY}
-        select ec_station_id, climate_id, datetime, strftime(datetime, '%H:%M') as "time", {r6('temp')},
-          'Rain,Fog' weather, cast(null as double) hmdx from hourly""",
+    "ingest_daily": f"with {DAILY} select {_whole('daily', READ_DAILY)} from daily",
+    "ingest_hourly": f"with {HOURLY} select {_whole('hourly', READ_HOURLY)} from hourly",
+    "ingest_tree_daily": f"with {DAILY} select {_whole('daily', READ_DAILY)} from daily",
+    "ingest_tree_hourly": f"with {HOURLY} select {_whole('hourly', READ_HOURLY)} from hourly",
+    "delivered_files": f"""with {DAILY}, {HOURLY}
+        select distinct ec_station_id station_id, 'daily' kind, year(datetime) "year", cast(null as int) "month" from daily
+        union all select distinct ec_station_id, 'hourly', year(datetime), month(datetime) from hourly""",
+    "station_list": f"""with {STATIONS} select "name", province, climate_id, station_id, {r6('lat')}, {r6('lon')},
+        dly_first_year, dly_last_year from stations""",
     "file_periods": f"""with {DAILY}, {HOURLY}
         select distinct '/raw/' || ec_station_id || '/daily/en_climate_daily_C' || ec_station_id || '_'
             || year(datetime) || '_P1D.csv' path,

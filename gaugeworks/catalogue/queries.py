@@ -5,6 +5,7 @@ Doubles are rounded to six places, and zero is added so that a negative zero pri
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -12,12 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks import fixtures as fx
+from gaugeworks import schemas
 from gaugeworks.functions import calendar as cal
 from gaugeworks.functions import geo, stats
 from gaugeworks.functions import text as tx
 from gaugeworks.operators import climatology, coverage, gapfill, neighbours, tables, weights
 from gaugeworks.operators.union import union_by_name
-from gaugeworks.session import shared_folder, written
+from gaugeworks.plans import backfill
+from gaugeworks.session import scratch_folder, written
 from gaugeworks.sources import observations, stations
 from gaugeworks.sources import tables as tables_io
 from gaugeworks.sources.tables import range_scan
@@ -27,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SELECTORS = ("DD", "7", "42", "EAE", "IAB", "ZZZ", "999999999", "QQ", "x", "north shore")
-NEAR = 10
+NEAR = weights.NEAREST
 
 
 def query(function: Query) -> Query:
@@ -97,7 +100,7 @@ def distance_weight(spark, sf):
 
 @query
 def rep_year_corr(spark, sf):
-    """Correlation and distance by plain expressions, for each station's ten nearest."""
+    """Correlation and distance by plain expressions, for each station's nearest."""
     year = written(climatology.representative_year(fx.daily(spark, sf)), "rep-year")
     places = _stations(spark, sf)
     pairs = neighbours.nearest_stations(places, places, NEAR).select("active_station", "station_id")
@@ -129,9 +132,9 @@ def station_weights_top(spark, sf):
 
 @query
 def stored_weights_top(spark, sf):
-    """The best twenty positive weights among each station's nearest."""
+    """The best hundred positive weights among each station's nearest, best first."""
     known = _profiles(spark, sf)
-    return rounded(weights.top_positive(weights.pairwise_weights(known, known), 20))
+    return rounded(weights.by_weight(weights.top_positive(weights.pairwise_weights(known, known))))
 
 
 # --- gap filling ---------------------------------------------------------------------------------
@@ -195,28 +198,60 @@ def _stored_hourly(spark, sf):
     return hourly.select("climate_id", "datetime")
 
 
-def _new_daily(spark, sf):
-    batch = tables.before(fx.daily(spark, sf), "2001-06-01")
-    stored = tables.in_batch_range(_stored_daily(spark, sf), batch)
-    return batch, tables.rows_to_insert(batch, stored)
+@query
+def range_scan_hourly(spark, sf):
+    """A range of days over hours: the last day is in it to its end."""
+    hours = range_scan(fx.hourly(spark, sf), "datetime", "2024-01-10", "2024-01-20")
+    return rounded(hours.select("ec_station_id", "datetime", "temp"))
+
+
+def _inserted(spark, sf, kind):
+    """Folder of a table and log after two inserts of one batch, which repeats keys and lacks some climate ids.
+
+    Every tenth station has no climate id; every row comes twice, the copy with a larger value.
+    """
+    rows, stored, as_of, value = {
+        "daily": (fx.daily, _stored_daily, "2001-06-01", "total_precip"), "hourly": (fx.hourly, _stored_hourly, "2024-01-25", "temp"),
+    }[kind]
+    folder = f"{scratch_folder(spark)}/upkeep-{uuid.uuid4().hex}"
+    there = stored(spark, sf).distinct().withColumns({"ec_station_id": F.substring("climate_id", 2, 99), "station_name": F.lit("stored")})
+    tables_io.write_observations(there, f"{folder}/{kind}", mode="overwrite")
+    tenth = F.col("ec_station_id").cast("int") % 10 == 0
+    once = rows(spark, sf).withColumn("climate_id", F.when(~tenth, F.col("climate_id")))
+    batch = written(once.unionByName(once.withColumn(value, F.col(value) + 1000).withColumn("year", F.col("year") + 1)), f"{folder}/batch", f"{folder}/batch")
+    for run in (1, 2):
+        facts = tables.incremental_insert(batch, f"{folder}/{kind}", kind, as_of, stage=False)
+        tables.append_update_log(spark, f"{folder}/log", facts, dt.datetime(2024, 1, run))
+    return folder
+
+
+def _added(spark, sf, kind):
+    found = tables_io.read_observations(spark, f"{_inserted(spark, sf, kind)}/{kind}", kind)
+    return found.where("station_name is null or station_name <> 'stored'")
 
 
 @query
 def insert_daily(spark, sf):
-    return _new_daily(spark, sf)[1].select("climate_id", *OBSERVED)
+    return _added(spark, sf, "daily").select("climate_id", *OBSERVED)
 
 
 @query
 def insert_hourly(spark, sf):
-    batch = tables.before(fx.hourly(spark, sf), "2024-01-25")
-    stored = tables.in_batch_range(_stored_hourly(spark, sf), batch)
-    return rounded(tables.rows_to_insert(batch, stored).select("climate_id", "ec_station_id", "datetime", "time", "temp"))
+    return rounded(_added(spark, sf, "hourly").select("climate_id", "ec_station_id", "datetime", "time", "temp"))
+
+
+@query
+def interpolated_record(spark, sf):
+    """Filled records as they are stored and read again, one directory per year."""
+    path = f"{scratch_folder(spark)}/filled-{uuid.uuid4().hex}"
+    gapfill.write_interpolated(_filled(spark, sf), path)
+    return rounded(spark.read.parquet(path).select(*FILLED))
 
 
 @query
 def insert_stream(spark, sf):
     """The whole daily table as a stream of files, inserted twice over into an empty table."""
-    folder = f"{shared_folder(spark)}/gaugeworks/stream-{uuid.uuid4().hex}"
+    folder = f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}"
     rows = written(fx.daily(spark, sf), "arriving", f"{folder}/arriving")
     tables_io.create_table(spark, f"{folder}/daily", "daily")
     for run in ("first", "again"):
@@ -227,17 +262,14 @@ def insert_stream(spark, sf):
 
 @query
 def update_log(spark, sf):
-    """The log row of the daily insert, without its run time."""
-    batch, new = _new_daily(spark, sf)
-    seen = batch.agg(
-        F.count(F.lit(1)).alias("batch_rows"), F.min("datetime").cast("string").alias("min_dt"),
-        F.max("datetime").cast("string").alias("max_dt"),
-    )
-    added = new.agg(F.count(F.lit(1)).alias("inserted_rows"))
-    facts = union_by_name(seen, added)
-    return facts.agg(
-        F.lit("daily").alias("table"), *(F.max(c).alias(c) for c in ("batch_rows", "inserted_rows", "min_dt", "max_dt"))
-    )
+    """Both log rows of the daily inserts: the second run adds nothing."""
+    log = spark.read.parquet(f"{_inserted(spark, sf, 'daily')}/log")
+    return log.select("table", F.day("run_ts").alias("run"), "batch_rows", "inserted_rows", "min_dt", "max_dt")
+
+
+@query
+def last_update(spark, sf):
+    return tables.last_update(spark, f"{_inserted(spark, sf, 'daily')}/log").select("table", F.day("run_ts").alias("run"), "inserted_rows")
 
 
 @query
@@ -316,8 +348,7 @@ def unmatched_selectors(spark, sf):
 
 @query
 def station_info(spark, sf):
-    listed = fx.stations(spark, sf).select("station_id", "climate_id", "name", "province", "tc_id", "dly_first_year")
-    return coverage.station_info(listed, SELECTORS, fx.provinces(spark, sf))
+    return coverage.station_info(fx.stations(spark, sf), SELECTORS, fx.provinces(spark, sf))
 
 
 PERIODS = {
@@ -402,7 +433,9 @@ def clean_names(spark, sf):
 @query
 def matching_columns(spark, sf):
     """Every column whose name mentions a price or a balance, as whole units; columns in order A to Z."""
-    orders = fx.table(spark, sf, "orders").select("o_totalprice", "o_orderkey", "o_custkey")
+    customers = fx.table(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    orders = fx.table(spark, sf, "orders").join(customers, "o_custkey")
+    orders = orders.select([c for c in orders.columns if dict(orders.dtypes)[c] not in ("timestamp", "timestamp_ntz")])
     changed = tx.transform_matching(orders, "PRICE|bal", lambda c: F.floor(c).cast("long"))
     return tx.sorted_columns(changed)
 
@@ -410,8 +443,9 @@ def matching_columns(spark, sf):
 @query
 def parse_dates(spark, sf):
     at, state = F.col("o_orderdate"), F.col("o_orderstatus")
-    day = F.when(state == "F", F.date_format(at, "yyyy-MM-dd")).when(state == "O", F.date_format(at, "yyyy/MM/dd"))
-    minute = F.when(state == "F", F.date_format(at, "yyyy-MM-dd HH:mm")).otherwise(F.lit("noon"))
+    third = F.when(F.col("o_orderkey") % 3 == 0, F.date_format(at, "yyyyMMdd")).otherwise(F.date_format(at, "dd.MM.yyyy"))
+    day = F.when(state == "F", F.date_format(at, "yyyy-MM-dd")).when(state == "O", F.date_format(at, "yyyy/M/d")).otherwise(third)
+    minute = F.when(state == "F", F.date_format(at, "yyyy-MM-dd HH:mm")).when(state == "O", F.date_format(at, "yyyy/M/d H:mm:ss")).otherwise(F.lit("noon"))
     month = F.when(state == "F", F.date_format(at, "yyyy")).when(state == "O", F.date_format(at, "yyyy-MM"))
     return fx.table(spark, sf, "orders").select(
         "o_orderkey", cal.to_day(day).alias("day"), cal.to_minute(minute).alias("minute"),
@@ -473,14 +507,73 @@ def hourly_files(spark, sf):
 @query
 def ingest_daily(spark, sf):
     parsed = observations.parse_files(daily_files(spark, sf), "daily")
-    return parsed.select("ec_station_id", "climate_id", "station_name", "datetime", "year", "month", "day", "total_precip",
-                         "spd_of_max_gust", "spd_of_max_gust_flag", "data_quality", "max_temp")
+    return rounded(parsed)
 
 
 @query
 def ingest_hourly(spark, sf):
     parsed = observations.parse_files(hourly_files(spark, sf), "hourly")
-    return rounded(parsed.select("ec_station_id", "climate_id", "datetime", "time", "temp", "weather", "hmdx"))
+    return rounded(parsed)
+
+
+def _tree(files, root):
+    """Write files of (path, content) below ``root``, each under the path that it has."""
+    def put(rows):
+        from pathlib import Path
+
+        for row in rows:
+            place = Path("/" + root.removeprefix("file:").lstrip("/")) / row.path.lstrip("/").removeprefix("raw/")
+            place.parent.mkdir(parents=True, exist_ok=True)
+            place.write_bytes(row.content.encode())
+
+    files.foreachPartition(put)
+    return root
+
+
+def _written_tree(spark, sf):
+    """The raw files of both kinds on disk: with preamble, byte order mark, and lines ended by CR."""
+    root = f"{scratch_folder(spark)}/raw-{uuid.uuid4().hex}"
+    odd, plain = F.crc32(F.col("path").cast("binary")) % 3, F.replace("content", F.lit("\ufeff"), F.lit(""))
+    content = F.when(odd == 0, F.concat(F.lit("\ufeff"), plain)).when(
+        odd == 1, F.concat(F.lit("made on some date/time\n\n"), plain)).otherwise(F.replace(plain, F.lit("\n"), F.lit("\r")))
+    for files in (daily_files(spark, sf), hourly_files(spark, sf)):
+        _tree(files.withColumn("content", content), root)
+    return root
+
+
+@query
+def ingest_tree_daily(spark, sf):
+    return rounded(observations.read_observation_tree(spark, _written_tree(spark, sf), "daily"))
+
+
+@query
+def ingest_tree_hourly(spark, sf):
+    return rounded(observations.read_observation_tree(spark, _written_tree(spark, sf), "hourly"))
+
+
+@query
+def delivered_files(spark, sf):
+    """Station, kind and period of the files on disk."""
+    return observations.delivered_files(spark, _written_tree(spark, sf))
+
+
+LISTED = ("name", "province", "climate_id", "station_id", "lat", "lon", "dly_first_year", "dly_last_year")
+
+
+@query
+def station_list(spark, sf):
+    """The station list written as text with its preamble, read, stored by province, and read again."""
+    folder = f"{scratch_folder(spark)}/stations-{uuid.uuid4().hex}"
+    known = {"name": "name", "province": "province", "climate_id": "climate_id", "station_id": "station_id", "latitude_dd": "lat",
+             "longitude_dd": "lon", "dly_first_year": "dly_first_year", "dly_last_year": "dly_last_year"}
+    quoted = [F.concat(F.lit('"'), F.coalesce(F.col(known[f.name]).cast("string"), F.lit("")) if f.name in known else F.lit(""), F.lit('"'))
+              for f in schemas.STATION_SCHEMA]
+    data = fx.stations(spark, sf).select(F.concat_ws(",", *quoted).alias("value"))
+    head = [("Modified Date: 2023-01-01",), ("",), ('"Disclaimers, one, two"',), (",".join(f.name for f in schemas.STATION_SCHEMA),)]
+    spark.createDataFrame(head, "value string").unionByName(data).write.text(f"{folder}/list")
+    backfill.write_station_tables(spark, f"{folder}/list", folder)
+    kept = backfill.read_station_table(spark, folder)
+    return rounded(kept.select(*(F.col(c).alias(a) for c, a in known.items())))
 
 
 @query

@@ -12,15 +12,21 @@ LEAP_DAY = "2-29"
 SLOTS = 365
 
 
+# Year, month and day, parted by ``-`` or ``/`` (then months and days may have one digit) or by nothing.
+_DAY = r"(?:(\d{4})[-/](\d{1,2})[-/](\d{1,2})|(\d{4})(\d{2})(\d{2}))"
+_TIME = r"[ T]+(\d{1,2}):(\d{2})(?::\d{2}(?:\.\d+)?)?"
+
+
 def to_day(text: Column) -> Column:
-    """``yyyy-MM-dd`` text to a date; anything else is NULL."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    """A date written year first (``2001-03-09``, ``2001/3/9``, ``20010309``); anything else is NULL."""
+    plain = F.regexp_replace(F.trim(text), f"^{_DAY}$", "$1$4-$2$5-$3$6")
+    return F.when(F.trim(text).rlike(f"^{_DAY}$"), plain.try_cast("date"))
 
 
 def to_minute(text: Column) -> Column:
-    """``yyyy-MM-dd HH:mm`` text (seconds allowed) to a wall-clock timestamp."""
-    shape = F.substring(F.trim(text), 1, 16)
-    return F.when(shape.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}$"), shape.try_cast("timestamp_ntz"))
+    """A date as in :func:`to_day` with hours and minutes, as a wall-clock timestamp; seconds are left out."""
+    plain = F.regexp_replace(F.trim(text), f"^{_DAY}{_TIME}$", "$1$4-$2$5-$3$6 $7:$8")
+    return F.when(F.trim(text).rlike(f"^{_DAY}{_TIME}$"), plain.try_cast("timestamp_ntz"))
 
 
 def to_month(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeworks import schemas
@@ -22,25 +22,22 @@ def before(df: DataFrame, as_of: dt.date | str, column: str = "datetime") -> Dat
 
 
 def rows_to_insert(
-    batch: DataFrame, stored: DataFrame, keys: tuple[str, ...] = KEY, dedupe: bool = True
+    batch: DataFrame, stored: DataFrame, keys: tuple[str, ...] = KEY, dedupe: bool = True, station: str = "ec_station_id"
 ) -> DataFrame:
-    """Batch rows whose key is not stored yet, one per key. NULL keys equal each other.
+    """Batch rows whose key is not stored yet, one per key. NULL keys equal stored NULL keys.
 
-    Both sides meet in a single grouping by key, combined before its one shuffle: a key that fills a
-    third of either side costs one row per task. Of several batch rows with one key the smallest by its
-    remaining columns stays, whatever their order. ``dedupe=False`` keeps them all, by an anti-join.
+    Of several batch rows with one key the smallest by its remaining columns stays, whatever their order;
+    rows without a first key are told apart by ``station``, so stations that lack an id all keep theirs.
+    ``dedupe=False`` keeps all. Only keys are compared with the stored side, each of its keys once.
     """
-    if not dedupe:
-        have = stored.select(*(F.col(k).alias(f"_have_{k}") for k in keys))
-        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys))
-        return batch.join(have, same, "left_anti")
-    rest = [c for c in batch.columns if c not in keys]
-    row = F.struct(F.lit(0).alias("_"), *rest)
-    offered = batch.select(*keys, row.alias("_row"), F.lit(False).alias("_stored"))
-    known = stored.select(*keys, F.lit(True).alias("_stored"))
-    by_key = offered.unionByName(known, allowMissingColumns=True).groupBy(*keys)
-    new = by_key.agg(F.min("_row").alias("_row"), F.max("_stored").alias("_stored")).where("not _stored")
-    return new.select(*(F.col(c if c in keys else f"_row.{c}").alias(c) for c in batch.columns))
+    if dedupe:
+        whose = [F.when(F.col(keys[0]).isNull(), F.col(station))] if station in batch.columns else []
+        rest = [F.col(c) for c in batch.columns if c not in keys]
+        one = Window.partitionBy(*keys, *whose).orderBy(*rest)
+        batch = batch.withColumn("_one", F.row_number().over(one)).where(F.col("_one") == 1).drop("_one")
+    have = stored.select(*(F.col(k).alias(f"_have_{k}") for k in keys)).distinct()
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys))
+    return batch.join(have, same, "left_anti")
 
 
 def in_batch_range(stored: DataFrame, batch: DataFrame, column: str = "datetime") -> DataFrame:
@@ -74,10 +71,13 @@ def incremental_insert(
 
 
 def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool) -> dict[str, object]:
-    n, lo, hi = batch.agg(F.count(F.lit(1)), F.min("datetime"), F.max("datetime")).first()
+    n, lo, hi, years = batch.agg(  # the years are a handful of numbers
+        F.count(F.lit(1)), F.min("datetime"), F.max("datetime"), F.collect_set(F.year("datetime"))).first()
     facts = {"table": kind, "batch_rows": n, "inserted_rows": 0, "min_dt": None, "max_dt": None}
     if n:
-        stored = tables.range_scan(tables.read_observations(batch.sparkSession, path, kind), "datetime", lo, hi)
+        stored = tables.read_observations(batch.sparkSession, path, kind)
+        if lo is not None:
+            stored = tables.range_scan(stored, "datetime", lo, hi).where(F.col(tables.PARTITION).isin(years))
         added = Observation()
         tables.write_observations(rows_to_insert(batch, stored, dedupe=dedupe), path, watch=added)
         facts |= {"inserted_rows": added.get["n"], "min_dt": str(lo), "max_dt": str(hi)}

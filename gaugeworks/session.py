@@ -11,10 +11,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Names the folder that all executors share; Spark allows it to be set only when a session starts.
+SHARED = "spark.checkpoint.dir"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "gaugeworks") -> SparkSession:
-    """A single-machine session for tests and benchmarks; clusters bring their own."""
-    spark = (
+    """A single-machine session for tests and benchmarks; clusters bring their own.
+
+    Where Spark's defaults name no shared folder, it gets a temporary one.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -22,30 +28,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # Hash instead of sort where every shuffled partition is known to be small.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains(SHARED):  # fixed when a session starts, so start it again
+        spark.stop()
+        spark = builder.config(SHARED, tempfile.mkdtemp(prefix="gaugeworks-")).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get(SHARED, None) or spark.sparkContext.getConf().get(SHARED, None)
+    if not folder:
+        raise ValueError(f"start the session with {SHARED} set to a folder shared by all executors")
+    return folder.rstrip("/")
 
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    conf = spark.sparkContext.getConf()
-    folder = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="gaugeworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_folder(spark)}/gaugeworks/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables; for the end of a job, when no result reads them any more."""
+    remove(spark, scratch_folder(spark))
 
 
 def _scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/gaugeworks/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:

@@ -20,16 +20,20 @@ def range_scan(
 ) -> DataFrame:
     """Rows with ``start <= column <= end``; either bound may be left out.
 
-    On a stored table the bounds also select partitions.
+    An end that is a day takes in the whole of that day, also where the column has times. On a stored table the
+    bounds also select partitions.
     """
     kind = df.schema[column].dataType
-    for bound, past in ((start, "__ge__"), (end, "__le__")):
-        if bound is None:
-            continue
-        limit = F.lit(str(bound)).cast(kind)
-        df = df.where(getattr(F.col(column), past)(limit))
-        if PARTITION in df.columns:
-            df = df.where(getattr(F.col(PARTITION), past)(int(str(bound)[:4])))
+    if start is not None:
+        df = df.where(F.col(column) >= F.lit(str(start)).cast(kind))
+    if end is not None:
+        if len(str(end)) == 10 and not isinstance(kind, T.DateType):
+            df = df.where(F.col(column) < F.date_add(F.lit(str(end)).cast("date"), 1).cast(kind))
+        else:
+            df = df.where(F.col(column) <= F.lit(str(end)).cast(kind))
+    if PARTITION in df.columns:
+        df = df if start is None else df.where(F.col(PARTITION) >= int(str(start)[:4]))
+        df = df if end is None else df.where(F.col(PARTITION) <= int(str(end)[:4]))
     return df
 
 

@@ -41,9 +41,8 @@ def by_key(rows):
     return {(r.ec_station_id, str(r.datetime)): r for r in rows}
 
 
-@pytest.mark.parametrize("large", [observations.LARGE_FILE_BYTES, 0, 300], ids=["whole", "lines", "mixed"])
-def test_daily_tree(spark, tree, large):
-    df = observations.read_observation_tree(spark, tree, "daily", large=large)
+def test_daily_tree(spark, tree):
+    df = observations.read_observation_tree(spark, tree, "daily")
     assert df.schema.names == schemas.observation_schema("daily").names
     assert [f.dataType for f in df.schema] == [f.dataType for f in schemas.observation_schema("daily")]
     got = by_key(df.collect())
@@ -170,3 +169,23 @@ def test_command_line(spark, tree, tmp_path):
     run(spark, arguments(["gaps", *common, "BC", "--kind", "daily", "--start", "1999", "--to", f"{out}/gaps"]))
     gaps = spark.read.option("header", True).csv(f"{out}/gaps").collect()
     assert {(r.station_id, r.year) for r in gaps} == {("51", "2001"), *(("90", str(y)) for y in range(1999, 2006))}
+
+
+def test_headers_lines_and_cells(spark, tmp_path):
+    """Preamble, CR line ends, another spelling of the date column, and a cell with the header's text."""
+    raw = tmp_path / "raw"
+    put(raw / "1/daily/a_2001_P1D.csv", "some preamble, date/time of download", "", '"Date/Time","Total Precip (mm)"', '"2001-01-01","1"', end="\r")
+    put(raw / "2/daily/a_2001_P1D.csv", '"DATE/TIME","Total Precip (mm)","Station Name"', '"2001/1/2","2","Date/Time"', '"20010103","3","at date/time"', end="\n")
+    put(raw / "3/daily/a_2001_P1D.csv", "no header at all", "2001-01-01,1")
+    got = observations.read_observation_tree(spark, str(raw), "daily").select("ec_station_id", "datetime", "total_precip", "station_name")
+    assert sorted((r[0], str(r[1]), r[2], r[3]) for r in got.collect()) == [
+        ("1", "2001-01-01", 1.0, None), ("2", "2001-01-02", 2.0, "Date/Time"), ("2", "2001-01-03", 3.0, "at date/time")]
+    bad = observations.files_without_header(observations.whole_files(spark, str(raw), "daily")).collect()
+    assert [r.path.rsplit("/", 3)[1] for r in bad] == ["3"]
+
+
+def test_files_of_a_window(spark, tree):
+    got = observations.read_observation_tree(spark, tree, "daily", first="2000-01").collect()
+    assert {str(r.datetime)[:4] for r in got} == {"2000"}
+    assert observations.read_observation_tree(spark, tree, "hourly", first="2000-02").count() == 0
+    assert observations.read_observation_tree(spark, tree, "hourly", last="2000-01").count() == 2

@@ -100,7 +100,6 @@ def test_same_result_without_any_broadcast(spark, monkeypatch):
     assert len(want) == len(rows) and sum(r[3] is not None for r in want) == 300 + 450
     assert {r[-1] for r in want if r[0] == "hot"} == {0, 2}
     before = {k: spark.conf.get(k, None) for k in SHUFFLED}
-    monkeypatch.setattr(gapfill, "FEW_LINKS", 0)
     try:
         for k, v in SHUFFLED.items():
             spark.conf.set(k, v)
