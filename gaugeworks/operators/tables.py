@@ -84,9 +84,16 @@ def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool) -> dict[str, o
     return facts
 
 
-def append_update_log(spark: SparkSession, path: str, facts: dict[str, object], run_ts: dt.datetime) -> None:
-    """Record one run; the latest row is the status report."""
-    row = tuple({"run_ts": run_ts, **facts}[f.name] for f in schemas.UPDATE_LOG_SCHEMA)
+def append_update_log(
+    spark: SparkSession, path: str, facts: dict[str, object], run_ts: dt.datetime, run_id: str | None = None
+) -> None:
+    """Record one run; the latest row is the status report. A ``run_id`` that is in the log is not recorded again."""
+    files, where = file_system(spark, path)
+    if run_id is not None and files.exists(where):
+        log = spark.read.schema(schemas.UPDATE_LOG_SCHEMA).parquet(path)
+        if not log.where((F.col("run_id") == run_id) & (F.col("table") == facts["table"])).isEmpty():
+            return
+    row = tuple({"run_ts": run_ts, "run_id": run_id, **facts}[f.name] for f in schemas.UPDATE_LOG_SCHEMA)
     spark.createDataFrame([row], schemas.UPDATE_LOG_SCHEMA).write.mode("append").parquet(path)
 
 
@@ -137,8 +144,8 @@ def with_year_bucket(df: DataFrame, step: int, year: str = "year") -> DataFrame:
 
 
 def write_year_buckets(df: DataFrame, path: str, step: int, year: str = "year") -> None:
-    """One directory of CSV files per year bucket."""
-    with_year_bucket(df, step, year).write.mode("overwrite").partitionBy("bucket").csv(path, header=True)
+    """One directory of CSV files per year bucket; rows are gathered by bucket, and large ones are split again."""
+    with_year_bucket(df, step, year).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").csv(path, header=True)
 
 
 def newest_dates(df: DataFrame, column: str, n: int = 3) -> DataFrame:

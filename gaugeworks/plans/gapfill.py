@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import climatology, gapfill, weights
 from gaugeworks.plans.backfill import read_station_table
-from gaugeworks.sources import tables
+from gaugeworks.sources import stations, tables
 
 
 def _known(spark: SparkSession, out: str) -> DataFrame:
@@ -31,6 +31,12 @@ def rebuild_pairwise_weights(spark: SparkSession, out: str, targets: DataFrame |
     found.write.mode("overwrite").parquet(f"{out}/precip_pairwise_weights")
 
 
+def active_stations(spark: SparkSession, out: str, year: int) -> DataFrame:
+    """Stations that still reported days in ``year`` or later, as targets."""
+    listed = read_station_table(spark, out)
+    return listed.where(stations.active_since(F.col("dly_last_year"), year)).select("station_id")
+
+
 def fill(
     spark: SparkSession, out: str, targets: DataFrame | None = None, start: dt.date | str | None = None,
     end: dt.date | str | None = None, stored_weights: bool = False,

@@ -14,14 +14,21 @@ from gaugeworks.sources import observations
 
 def update(
     spark: SparkSession, raw: str, out: str, as_of: dt.date, station_list: str | None = None,
-    kinds=("daily", "hourly"), keep_snapshots: int = 3,
+    kinds=("daily", "hourly"), keep_snapshots: int = 3, days_back: int | None = None,
 ) -> list[dict[str, object]]:
-    """Run one update and return its log rows. Running it again inserts nothing."""
+    """Run one update and return its log rows. Running it again inserts nothing.
+
+    ``days_back`` opens only files that by their names hold months from so many days ago up to ``as_of``; without it
+    the whole tree is read.
+    """
+    window = {}
+    if days_back is not None:
+        window = {"first": f"{as_of - dt.timedelta(days=days_back):%Y-%m}", "last": f"{as_of:%Y-%m}"}
     if station_list:
         write_station_tables(spark, station_list, out)
     rows = []
     for kind in kinds:
-        parsed = observations.read_observation_tree(spark, raw, kind)
+        parsed = observations.read_observation_tree(spark, raw, kind, **window)
         with staged(parsed, f"batch-{kind}") as batch:
             facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of, stage=False)
             upkeep.append_update_log(spark, f"{out}/update_log", facts, dt.datetime.now())

@@ -57,6 +57,7 @@ UPDATE_LOG_SCHEMA = T.StructType([
     T.StructField("inserted_rows", T.LongType()),
     T.StructField("min_dt", T.StringType()),
     T.StructField("max_dt", T.StringType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 # Province and territory codes with their English and French names

@@ -24,11 +24,13 @@ def insert_stream(
 ) -> StreamingQuery:
     """Start inserting a stream of observations into the table ``<out>/<kind>``, logging each batch.
 
-    ``once`` processes what is there and stops; otherwise the query keeps watching.
+    ``once`` processes what is there and stops; otherwise the query keeps watching. A batch that is run again after a
+    failure has one log row, named by the checkpoint and the batch.
     """
-    def insert(batch: DataFrame, _: int) -> None:
+    def insert(batch: DataFrame, number: int) -> None:
         facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of())
-        upkeep.append_update_log(batch.sparkSession, f"{out}/update_log", facts, dt.datetime.now())
+        run = f"{checkpoint}#{number}"
+        upkeep.append_update_log(batch.sparkSession, f"{out}/update_log", facts, dt.datetime.now(), run)
 
     writer = rows.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

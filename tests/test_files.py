@@ -127,6 +127,8 @@ def test_jobs_from_files_to_filled_records(spark, tree, tmp_path):
     # The day after tomorrow's rows become old enough, and only they are added.
     later = update.update(spark, tree, out, dt.date(2000, 2, 1), kinds=("daily",))
     assert later[0]["inserted_rows"] == 1 and daily().count() == 5
+    recent = update.update(spark, tree, out, dt.date(2000, 2, 9), kinds=("daily",), days_back=31)
+    assert (recent[0]["batch_rows"], recent[0]["inserted_rows"]) == (3, 0)
 
     gapfill.rebuild_representative_years(spark, out)
     gapfill.rebuild_pairwise_weights(spark, out)
@@ -153,6 +155,10 @@ def test_stream_inserts_each_file_once(spark, tree, tmp_path):
     run()
     assert stored().count() == 7
     assert stored().where("ec_station_id = '77'").agg({"total_precip": "sum"}).first()[0] == 11.0
+    log = spark.read.parquet(f"{out}/update_log")
+    facts = dict(log.where("run_id like '%#0'").first().asDict(), inserted_rows=99)
+    upkeep.append_update_log(spark, f"{out}/update_log", facts, dt.datetime(2001, 1, 1), facts["run_id"])
+    assert spark.read.parquet(f"{out}/update_log").where("inserted_rows = 99").count() == 0
 
 
 def test_command_line(spark, tree, tmp_path):
@@ -166,6 +172,12 @@ def test_command_line(spark, tree, tmp_path):
     run(spark, arguments(["weights", "--out", out]))
     run(spark, arguments(["fill", "--out", out, "--to", f"{out}/filled", "--station", "51", "--start", "2000-01-01"]))
     assert spark.read.parquet(f"{out}/filled").count() == 2
+    run(spark, arguments(["weights", "--out", out, "--active-since", "2005"]))
+    assert {r.active_station for r in spark.read.parquet(f"{out}/precip_pairwise_weights").collect()} == {"77"}
+    run(spark, arguments(["buckets", "--out", out, "--to", f"{out}/buckets", "--step", "1"]))
+    assert spark.read.option("header", True).csv(f"{out}/buckets/daily").count() == 5
+    with pytest.raises(SystemExit):
+        arguments(["gaps", *common])
     run(spark, arguments(["gaps", *common, "BC", "--kind", "daily", "--start", "1999", "--to", f"{out}/gaps"]))
     gaps = spark.read.option("header", True).csv(f"{out}/gaps").collect()
     assert {(r.station_id, r.year) for r in gaps} == {("51", "2001"), *(("90", str(y)) for y in range(1999, 2006))}
