@@ -39,11 +39,11 @@ def active_stations(spark: SparkSession, out: str, year: int) -> DataFrame:
 
 def fill(
     spark: SparkSession, out: str, targets: DataFrame | None = None, start: dt.date | str | None = None,
-    end: dt.date | str | None = None, stored_weights: bool = False,
+    end: dt.date | str | None = None, stored_weights: bool = True,
 ) -> DataFrame:
     """Filled daily records of the targets in a date range.
 
-    Weights are computed over all stations, or taken from the stored weights of the nearest ones.
+    Weights are the stored ones of each station's nearest, or computed over all stations.
     """
     daily = tables.read_observations(spark, f"{out}/daily", "daily")
     if stored_weights:
