@@ -9,19 +9,20 @@ the square of the input. So texts are routed to the shards that can matter to th
 1. Each window has an anchor, the least hash of its ``K``-word runs. Equal windows have equal anchors. One scan writes
    each document's distinct anchors (about one for every twenty words). Exact copies of a document are settled here:
    every window of theirs starts in the first copy.
-2. An anchor that two documents hold sends its windows to the shard of the first document that holds it. Runs of
-   consecutive windows with the same shard travel as one segment.
+2. An anchor that two documents hold sends its windows to the shard of the first document that holds it, or to one of its
+   own if more than ``JOINT`` do. Runs of consecutive windows with the same shard travel as one segment.
 3. A shard goes through its documents by ascending id. It streams each segment through its automaton for matching
    statistics, the length of the longest match that ends at each word; lengths of ``n`` or more are repeated windows. Then
    it adds the windows that it did not hold. So an automaton holds each distinct window about once.
 4. Anchors of more than ``HOT`` documents would make a shard as large as their number of documents. Their windows take
-   another way, which is exact as well: the least document id of each window's 64-bit hash, summed up before the shuffle.
+   another way, which is exact as well: the least document id of each window's 64-bit hash, found before the shuffle as far as it
+   can be. Runs of windows are cut into pieces by content, and equal pieces are settled as one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 from itertools import groupby
 from operator import itemgetter
 
@@ -35,8 +36,11 @@ from gaugeworks.session import ship_package, written
 
 #: Words of the runs whose least hash anchors a window.
 K = 10
-#: Documents from which on the windows of an anchor are compared by hash.
-HOT = 200
+#: Documents up to which an anchor shares the shard of its first document, and from which on its windows are compared by
+#: hash. In between it has a shard of its own, of at most ``HOT`` segments of fewer than twice the window's words.
+JOINT, HOT = 200, 3000
+#: Repeated windows of one hot anchor that a run is compared with at once.
+CHUNK = 256
 
 
 class SuffixAutomaton:
@@ -123,6 +127,36 @@ def window_anchors(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return start, window, least[start]
 
 
+def hot_spans(found: DataFrame, n: int) -> DataFrame:
+    """Repeated windows among pieces (anchor, piece, id, digest, start, windows): id, digest and spans of each that has any.
+
+    A whole piece is repeated in the documents after its first one. In that document its windows are looked up among the
+    repeated windows of the anchor, in chunks of bounded size; nothing is joined window by window.
+    """
+    groups = found.groupBy("piece").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    again = found.join(groups.where("first < last"), "piece").where("first < id").select("id", "digest", F.array(F.struct(
+        "start", (F.col("start") + F.size("windows") + n - 1).alias("stop"))).alias("spans"))
+    runs = found.join(groups.select("piece", F.col("first").alias("id")), ["piece", "id"])
+    each = runs.select("anchor", "id", F.explode_outer("windows").alias("window"))
+    firsts = each.groupBy("anchor", "window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    firsts = written(firsts.select("anchor", "window", "first"), "hot-windows")
+    chunks = firsts.groupBy("anchor").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
+    known = firsts.join(chunks, "anchor").groupBy("anchor", F.pmod("window", F.col("chunks")).alias("chunk")).agg(
+        F.map_from_entries(F.collect_list(F.struct("window", "first"))).alias("firsts"))
+    asked = runs.join(chunks, "anchor").select("anchor", "id", "digest", "start", "windows", F.explode_outer(
+        F.array_distinct(F.transform("windows", lambda w: F.pmod(w, F.col("chunks"))))).alias("chunk"))
+    at = F.transform("windows", lambda w, i: F.when(F.element_at("firsts", w) < F.col("id"), F.col("start") + i))
+    some = asked.join(known, ["anchor", "chunk"]).select("id", "digest", F.filter(at, lambda x: x.isNotNull()).alias("at"))
+    return again.unionByName(some.where(F.size("at") > 0).select("id", "digest", F.transform(
+        "at", lambda x: F.struct(x.alias("start"), (x + n).alias("stop"))).alias("spans")))
+
+
+def pieces(windows: np.ndarray) -> list[tuple[int, int]]:
+    """A run of windows cut before each one whose hash is a multiple of four: equal passages are cut alike."""
+    cut = np.unique(np.r_[0, np.flatnonzero((windows & U(3)) == 0), len(windows)])
+    return list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+
+
 def _digest(data: bytes) -> tuple[str, int]:
     """(sha256 in hex, its first 8 bytes as a number: tells rows of one id apart)."""
     raw = sha256(data)
@@ -148,11 +182,11 @@ def _scan(n: int):
     return work
 
 
-_SEGMENT = "shard {id}, id {id}, digest long, start int, words binary, window long"
+_SEGMENT = "shard long, id {id}, digest long, start int, words binary, anchor long, piece long, windows array<long>"
 
 
 def _cut(n: int):
-    """Segments for the shards, and the windows of hot anchors by hash."""
+    """Segments for the shards, and pieces of runs of windows of one hot anchor by their hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -173,17 +207,21 @@ def _cut(n: int):
                 shards = sorted({x for x in to.values() if x is not None})
                 number = {x: k for k, x in enumerate(shards, 1)} | {None: 0}
                 kind = np.array([number[to[x]] if x in to else -1 for x in own.tolist()])[back]
-                for p in np.flatnonzero(kind == 0).tolist():
-                    out.append((None, id_, digest, p, None, int(window[a + p : a + p + 1].view(np.int64)[0])))
-                edge = np.flatnonzero(np.diff(kind)) + 1
+                edge = np.flatnonzero((np.diff(kind) != 0) | ((kind[1:] == 0) & (np.diff(back) != 0))) + 1
                 for p, q in zip(np.r_[0, edge].tolist(), np.r_[edge, len(kind)].tolist(), strict=True):
                     if p < q and kind[p] > 0:
-                        out.append((shards[kind[p] - 1], id_, digest, p, b" ".join(split[p : q + n - 1]), None))
+                        out.append((shards[kind[p] - 1], id_, digest, p, b" ".join(split[p : q + n - 1]), None, None, None))
+                    elif p < q and kind[p] == 0:
+                        for x, y in pieces(window[a + p : a + q]):
+                            part = window[a + p + x : a + p + y]
+                            name = int.from_bytes(blake2b(part.tobytes(), digest_size=8).digest(), "little", signed=True)
+                            out.append((None, id_, digest, p + x, None, int(own[back[p]]), name, part.view(np.int64)))
             if out:
-                kinds = (batch.schema.field("id").type, batch.schema.field("id").type, pa.int64(), pa.int32(), pa.binary(), pa.int64())
+                kinds = (pa.int64(), batch.schema.field("id").type, pa.int64(), pa.int32(), pa.binary(),
+                         pa.int64(), pa.int64(), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    ["shard", "id", "digest", "start", "words", "window"])
+                    ["shard", "id", "digest", "start", "words", "anchor", "piece", "windows"])
 
     return work
 
@@ -251,17 +289,18 @@ def deduplicate(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_col:
     is_copy = F.coalesce(F.col("first") < F.col("id"), F.lit(False))
 
     anchors = base.where(~is_copy & F.col("id").isNotNull()).select("id", "digest", F.explode("anchors").alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.min("id").alias("shard"), F.max("id").alias("last"), F.count("*").alias("n"))
-    shared = shared.where("shard < last").select("anchor", F.when(F.col("n") <= HOT, F.col("shard")).alias("shard"))
+    shared = anchors.groupBy("anchor").agg(F.min("id").alias("first_of"), F.max("id").alias("last"), F.count("*").alias("n"))
+    own, joint = F.xxhash64(F.lit("anchor"), "anchor"), F.xxhash64(F.lit("document"), "first_of")
+    shard = F.when(F.col("n") <= HOT, F.when(F.col("n") <= JOINT, joint).otherwise(own))
+    shared = shared.where("first_of < last").select("anchor", shard.alias("shard"))
     routes = anchors.join(shared, "anchor").groupBy("id", "digest").agg(F.collect_list(F.struct("anchor", "shard")).alias("shared"))
     segments = written(texts.join(routes, "id").mapInArrow(_cut(n), _SEGMENT.format(id=kind)), "segments")
 
     span = f"id {kind}, digest long, start int, stop int"
-    streamed = segments.where("window is null").groupBy("shard").applyInArrow(_shard(n), span)
-    hashed = segments.where("window is not null").select("window", "id", "digest", "start")
-    firsts = hashed.groupBy("window").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    by_hash = hashed.join(firsts, "window").where("first < id").select("id", "digest", "start", (F.col("start") + n).alias("stop"))
-    found = streamed.unionByName(by_hash).groupBy("id", "digest").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    streamed = segments.where("anchor is null").groupBy("shard").applyInArrow(_shard(n), span)
+    streamed = streamed.select("id", "digest", F.array(F.struct("start", "stop")).alias("spans"))
+    hashed = hot_spans(segments.where("anchor is not null").select("anchor", "piece", "id", "digest", "start", "windows"), n)
+    found = streamed.unionByName(hashed).groupBy("id", "digest").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
     matched = texts.join(found, "id")
     changed = written(matched.mapInArrow(_keep, f"id {kind}, digest long, n_removed long, kept string"), "kept")

@@ -79,8 +79,9 @@ def test_registers_hold_zeros_and_mantissa():
         assert register >> 10 == 57 - bits and (register & 1023) == top
 
 
-@pytest.mark.parametrize("hot", [200, 1])
-def test_substrings(spark, hand_docs, hand_rows, small, small_docs, monkeypatch, hot):
+@pytest.mark.parametrize(("joint", "hot"), [(200, 3000), (2, 3000), (1, 1)])
+def test_substrings(spark, hand_docs, hand_rows, small, small_docs, monkeypatch, joint, hot):
+    monkeypatch.setattr(substring_dedup, "JOINT", joint)
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     monkeypatch.setattr(substring_dedup, "CHUNK", 3 if hot == 1 else 256)
     for docs, rows, n in ((hand_docs, hand_rows, 12), (small_docs, small, 50)):
