@@ -65,18 +65,24 @@ def text_bytes(texts: pa.Array) -> list[bytes]:
 
 @dataclass
 class Words:
-    """Hashes of all words of a batch; words of row i are ``hashes[ptr[i]:ptr[i + 1]]``."""
+    """Hashes of all words of a batch; words of row i are ``hashes[ptr[i]:ptr[i + 1]]``.
+
+    Word k is ``data[start[k]:stop[k]]``.
+    """
 
     hashes: np.ndarray
     ptr: np.ndarray
+    data: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
 
     def rows(self) -> np.ndarray:
         """The row each word belongs to."""
         return np.repeat(np.arange(len(self.ptr) - 1), np.diff(self.ptr))
 
 
-def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word starts and hashes in bytes that begin and end outside any word."""
+def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes of the words in bytes that begin and end outside any word."""
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.r_[True, space, True].view(np.int8)))
     start, end = edge[::2], edge[1::2]
@@ -84,13 +90,17 @@ def _hash_piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     power, inverse = (_BYTE_POWERS, _BYTE_INVERSES) if n <= PIECE + 1 else (_powers(_BASE, n), _powers(_BASE_INVERSE, n))
     sums = np.zeros(n, U)
     np.cumsum(_VALUES[data] * power[: n - 1], out=sums[1:])
-    return start, mix((sums[end] - sums[start]) * inverse[start])
+    return start, end, mix((sums[end] - sums[start]) * inverse[start])
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> Words:
     """Hashes of the words of each text; ``lower`` turns A-Z into a-z first. A null has no words."""
-    rows = text_bytes(texts)
-    starts, hashes = [np.empty(0, np.int64)], [np.empty(0, U)]
+    return words_in(text_bytes(texts), lower)
+
+
+def words_in(rows: list[bytes], lower: bool = False) -> Words:
+    """Like :func:`words_of`, of texts as bytes."""
+    starts, ends, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, U)]
     bounds = np.zeros(len(rows) + 1, np.int64)
     np.cumsum([len(x) + 1 for x in rows], out=bounds[1:])
     data = np.frombuffer(b" ".join([*rows, b""]), np.uint8)
@@ -109,12 +119,13 @@ def words_of(texts: pa.Array, lower: bool = False) -> Words:
                     step += PIECE
                 more = np.flatnonzero(_SPACE[data[step : step + PIECE]])
                 stop = step + int(more[0]) + 1 if len(more) else len(data)
-        s, h = _hash_piece(data[at:stop])
+        s, e, h = _hash_piece(data[at:stop])
         starts.append(s + at)
+        ends.append(e + at)
         hashes.append(h)
         at = stop
-    ptr = np.searchsorted(np.concatenate(starts), bounds)
-    return Words(np.concatenate(hashes), ptr)
+    start = np.concatenate(starts)
+    return Words(np.concatenate(hashes), np.searchsorted(start, bounds), data, start, np.concatenate(ends))
 
 
 def runs_of(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.batches import slices
+from gaugeworks.llm.batches import U, slices, text_bytes, words_in
 from gaugeworks.session import ship_package, written
 
 MANIFEST = "part int, path string, width int, n_docs long, n_ids long"
-#: Words whose ids a worker keeps at hand.
-KEPT_WORDS = 1 << 18
+#: Words whose ids a worker keeps at hand, some 40 bytes each.
+KEPT_WORDS = 1 << 22
 
 
 @lru_cache(maxsize=1)
@@ -52,45 +52,128 @@ def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
+#: ASCII punctuation but the apostrophe, which can belong to the letters after it.
+_TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library.
+    """Ids of texts by the tokenizers library, as little-endian integers of ``width`` bytes.
 
-    For a vocabulary that drops white space no token, match or normalisation reaches across it, so a text's ids are
-    those of its words in order; each distinct word goes to the library once and is kept for the texts that follow.
+    If the vocabulary drops white space and case (``by_words``), no token, match or normalisation reaches across white
+    space, so a text's ids are those of its words in order. Each distinct word goes to the library once and is kept, under
+    its 64-bit hash, for the texts that follow; a new word that ends in ASCII punctuation after an ASCII letter is put
+    together from both parts, as the library splits there, too. Texts with what may be a special token go to the library as
+    they are.
     """
 
-    def __init__(self, path: str, by_words: bool):
-        self.library, self.by_words, self.known = _library(path), by_words, {}
-
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __init__(self, path: str, width: int, by_words: bool):
+        self.library, self.kind, self.by_words = _library(path), f"<u{width}", by_words
+        special = {i: x.content for i, x in self.library.get_added_tokens_decoder().items() if x.special and "<|" in x.content}
+        self.mark = next(iter(special.items()), None)
+        self._forget()
+
+    def _forget(self) -> None:
+        # Word ``names[k]`` (sorted) has the ids ``ids[at[k]:at[k] + size[k]]``; ``used`` of them are in use.
+        self.names, self.at, self.size = np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.ids, self.used = np.empty(1 << 16, self.kind), 0
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.kind).tobytes() for x in found]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words without a special token: joined by one, which parts the ids again, if the vocabulary has any."""
+        if self.mark is None:
+            return self._encode(words)
+        number, content = self.mark
+        ids = np.array(self.library.encode_batch_fast([content.join(words)], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.r_[np.flatnonzero(ids == number), len(ids)]
+        width = np.dtype(self.kind).itemsize
+        data, ends = ids.astype(self.kind).tobytes(), (ends * width).tolist()
+        return [data[a:b] for a, b in zip([0, *(x + width for x in ends[:-1])], ends, strict=True)]
+
+    def _find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each word is, and whether it is there."""
+        if not len(self.names):
+            return np.zeros(len(names), np.int64), np.zeros(len(names), bool)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return at, self.names[at] == names
+
+    def _keep(self, names: np.ndarray, ids: list[bytes]) -> None:
+        """Add words that are not there yet."""
+        data = np.frombuffer(b"".join(ids), self.kind)
+        size = np.array([len(x) for x in ids], np.int64) // data.itemsize
+        if self.used + len(data) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty(len(self.ids) + len(data), self.kind)])
+        self.ids[self.used : self.used + len(data)] = data
+        at = self.used + np.cumsum(size) - size
+        self.used += len(data)
+        order = np.argsort(names)
+        place = np.searchsorted(self.names, names[order])
+        self.names, self.at, self.size = (
+            np.insert(old, place, new[order]) for old, new in ((self.names, names), (self.at, at), (self.size, size)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode and keep words, none of them twice and none known."""
+        ids: list[bytes] = []
+        for start in range(0, len(words), 1 << 12):
+            ids += self._encode_words([x.decode() for x in words[start : start + (1 << 12)]])
+        self._keep(words_in(words).hashes, ids)
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_words:
-            return [np.array(x.ids, np.uint32) for x in self.library.encode_batch(texts, add_special_tokens=False)]
-        rows = [x.encode().split() for x in texts]  # ASCII white space
-        if len(self.known) > KEPT_WORDS:
-            self.known.clear()
-        fresh = list({w for row in rows for w in row if w not in self.known})
-        for start in range(0, len(fresh), 1 << 14):
-            some = fresh[start : start + (1 << 14)]
-            found = self.library.encode_batch([w.decode() for w in some], add_special_tokens=False)
-            self.known.update(zip(some, [x.ids for x in found], strict=True))
-        return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, row)), np.uint32) for row in rows]
+            return self._encode([x.decode() for x in texts])
+        special = [i for i, x in enumerate(texts) if b"<|" in x]
+        words = words_in([b"" if b"<|" in x else x for x in texts], lower=True)
+        if len(self.names) > KEPT_WORDS:
+            self._forget()
+        names, first, back = np.unique(words.hashes, return_index=True, return_inverse=True)
+        fresh = first[~self._find(names)[1]]
+        data = words.data.tobytes()
+        new = [data[a:b] for a, b in zip(words.start[fresh].tolist(), words.stop[fresh].tolist(), strict=True)]
+        cut = [len(w.rstrip(_TAIL)) if w[-1] in _TAIL and b"'" not in w else 0 for w in new]
+        cut = [k if k and 97 <= w[k - 1] <= 122 else 0 for w, k in zip(new, cut, strict=True)]
+        ends = [(w, k) for w, k in zip(new, cut, strict=True) if k]
+        parts = list({w for w, k in zip(new, cut, strict=True) if not k}.union([w[:k] for w, k in ends], [w[k:] for w, k in ends]))
+        known = self._find(words_in(parts).hashes)[1].tolist()
+        self._learn([w for w, there in zip(parts, known, strict=True) if not there])
+        if ends:
+            halves = [self._find(words_in(x).hashes)[0] for x in ([w[:k] for w, k in ends], [w[k:] for w, k in ends])]
+            whole = [b"".join(x) for x in zip(*([self.ids[a : a + n].tobytes() for a, n in zip(
+                self.at[h].tolist(), self.size[h].tolist(), strict=True)] for h in halves), strict=True)]
+            self._keep(words_in([w for w, _ in ends]).hashes, whole)
+        at = self._find(names)[0][back]
+        size = self.size[at]
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(self.at[at] - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)].tobytes()
+        edge = (np.r_[0, stop][words.ptr] * np.dtype(self.kind).itemsize).tolist()
+        out = [ids[a:b] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        for i, other in zip(special, self._encode([texts[i].decode() for i in special]), strict=True):
+            out[i] = other
+        return out
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str, width: int, by_words: bool) -> Encoder:
+    """The worker's encoder, with the words that earlier tasks have met."""
+    return Encoder(path, width, by_words)
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = None, by_words: bool = False,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the shards to ``folder`` and return the manifest, with ``base``, as a stored table.
 
-    ``by_words`` tells that the tokenizer drops white space. Rows with a null id come first, rows that share an id are
+    ``by_words`` tells that the tokenizer drops white space and case. Rows with a null id come first, rows that share an id are
     all written, ordered by text; a null text has only its end id. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
     ship_package(spark)
     highest = max(_library(tokenizer).get_vocab_size(with_added_tokens=True) - 1, end_id or 0)
     width = 2 if highest < 1 << 16 else 4
-    tail = np.array([] if end_id is None else [end_id], np.uint32)
+    tail = b"" if end_id is None else end_id.to_bytes(width, "little")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        use = Encoder(tokenizer, by_words)
+        use = encoder(tokenizer, width, by_words)
         part = TaskContext.get().partitionId()
         files, place = file_system(folder)
         files.create_dir(place, recursive=True)
@@ -101,11 +184,12 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int | Non
                 streams = [files.open_output_stream(f"{place}/{name}.{kind}") for kind in ("ids", "idx", "docs")]
                 docs_file = pa.ipc.new_file(streams[2], pa.schema([pa.field("id", batch.schema.field("id").type)]))
                 streams[1].write(np.zeros(1, "<u8").tobytes())
-            rows = [np.concatenate([x, tail]) for x in use([x or "" for x in batch.column("text").to_pylist()])]
-            streams[0].write(np.concatenate(rows).astype(f"<u{width}").tobytes())
-            streams[1].write((n_ids + np.cumsum([len(x) for x in rows])).astype("<u8").tobytes())
+            rows = [x + tail for x in use(text_bytes(batch.column("text")))]
+            sizes = np.array([len(x) // width for x in rows], np.int64)
+            streams[0].write(b"".join(rows))
+            streams[1].write((n_ids + np.cumsum(sizes)).astype("<u8").tobytes())
             docs_file.write_batch(batch.select(["id"]))
-            n_docs, n_ids = n_docs + len(rows), n_ids + sum(map(len, rows))
+            n_docs, n_ids = n_docs + len(rows), n_ids + int(sizes.sum())
         if streams:
             docs_file.close()
             for stream in streams:
