@@ -46,17 +46,40 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int =
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+#: Two to this number bits tell which keys are in use; the table of them has 1/64 as many rows, 4 MB at most.
+FILTER_BITS = 24
+
+
+def maybe_among(df: DataFrame, keys: DataFrame, of: str) -> DataFrame:
+    """``df`` with ``maybe``: false only where the 64-bit hash ``of`` is none of ``keys`` (its only column).
+
+    A bit map of bounded size is broadcast, however many keys there are; with very many it only spares less.
+    """
+    place = lambda c: (F.shiftrightunsigned(c, 64 - FILTER_BITS + 6).alias("_slot"), F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(`{c}`, {64 - FILTER_BITS}) & 63 as int))").alias("_bit"))
+    bits = keys.select(*place(keys.columns[0])).groupBy("_slot").agg(F.bit_or("_bit").alias("_bits"))
+    found = df.select("*", *place(of)).join(F.broadcast(bits), "_slot", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))
+    return found.withColumn("maybe", maybe).drop("_slot", "_bit", "_bits")
+
+
 def hub_pairs(members: DataFrame, close: Callable[[Column, Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(shared, pairs) of ``members`` (key, node, and ``mark`` if ``close`` is given).
+    """(shared, pairs) of ``members`` (key, node, and ``mark`` if ``close`` is given), each key and node once.
 
-    ``shared`` is the members of keys that two nodes hold; ``pairs`` (a, b) links each of them to the least node of its
-    key, so their number grows with the members, not with their square. ``close`` must hold for the marks of a pair.
+    ``pairs`` (a, b) links the nodes of a key to the least of them, so their number grows with the members, not with
+    their square. ``close`` must hold for the marks of a pair. ``shared`` is the members of keys that more than two nodes
+    hold, those with pairs yet to be considered.
     """
-    marks = [] if close is None else [F.min_by("mark", "node").alias("hub_mark")]
-    hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), *marks).where("hub < last").drop("last")
-    shared = written(members.join(hubs, "key"), "shared-keys")
-    met = shared.where("node <> hub" if close is None else (F.col("node") != F.col("hub")) & close(F.col("mark"), F.col("hub_mark")))
-    return shared.select(members.columns), met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    counts = members.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("held")).where("held > 1")
+    hubs = written(counts, "hubs")
+    likely = maybe_among(members, hubs.select("key"), "key").where("maybe").drop("maybe")
+    shared = written(likely.join(hubs, "key"), "shared-keys")
+    met = shared.where("node <> hub")
+    if close is not None:
+        marks = shared.where("node = hub").select("key", F.col("mark").alias("hub_mark"))
+        met = met.join(marks, "key").where(close(F.col("mark"), F.col("hub_mark")))
+    more = shared.where("held > 2").select(members.columns)
+    return more, met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def cross_pairs(shared: DataFrame, groups: DataFrame, close: Callable[[Column, Column], Column] | None = None) -> DataFrame:
