@@ -24,7 +24,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 #: Bytes of text that are turned into arrays at once; arrays take about a hundred times as much memory.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,7 +43,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _BYTE_POWERS, _BYTE_INVERSES = _powers(_BASE, PIECE + 1), _powers(_BASE_INVERSE, PIECE + 1)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``most`` bytes of text, or of one row that is longer."""
     for batch in batches:
         text = batch.column(column)

@@ -187,7 +187,7 @@ def _guesser(spark: SparkSession, model: Model, kept: list[str]):
         table = np.zeros((0, len(use.languages)))
         for batch in slices(batches, most=2 << 20):
             rows = [Counter(words(x or "")) for x in batch.column("text").to_pylist()]
-            if len(known) > 1 << 18:
+            if len(known) > 1 << 16:
                 known, table = {}, table[:0]
             fresh = list({w for row in rows for w in row if w not in known})
             known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
