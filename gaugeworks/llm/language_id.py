@@ -5,7 +5,8 @@ taken to be drawn from one language, which gives it the likelihood of its trigra
 those that make its words most likely, found by EM. Languages join the set one at a time. The first is the single
 best; another can raise the likelihood only if its likelihood ratio to the present mixture averages above one over
 the words, and it is kept only if the gain in log-likelihood exceeds the penalty of one more parameter, half the
-logarithm of the number of words (BIC).
+logarithm of the number of words (BIC). If it is not, the next best is tried; a text's set is complete when none
+passes, and may hold every language learned.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,8 @@ BUCKETS = 1 << BITS
 UNDETERMINED = "und"
 #: A word speaks against a language by a factor of e**FLOOR at most: every text holds names and foreign words.
 FLOOR = -12.0
+#: EM ends when no proportion of a text moves by this much.
+TOLERANCE = 1e-3
 #: Languages of one model; its table has BUCKETS numbers for each and goes to every worker.
 MOST_LANGUAGES = 400
 
@@ -102,22 +106,25 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", smoot
     return Model(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
-def mixtures(log_ratio: np.ndarray, count: np.ndarray, ptr: np.ndarray, rounds: int = 40, most: int = 4) -> np.ndarray:
+def mixtures(log_ratio: np.ndarray, count: np.ndarray, ptr: np.ndarray, rounds: int | None = None) -> np.ndarray:
     """Proportions of languages by text, zero for those outside the selected set.
 
     ``log_ratio`` has the words of all texts (rows) by language, those of text i at ``ptr[i]:ptr[i + 1]``, each with
-    its ``count``. Every text has a word. At most ``rounds`` EM steps are made for each set of at most ``most``.
+    its ``count``. Every text has a word. A text's set grows until no language that is left passes the test.
+    EM runs to its tolerance, or for ``rounds`` steps if given.
     """
     n, kinds = len(ptr) - 1, log_ratio.shape[1]
     ratio = np.exp(log_ratio)
     total = np.add.reduceat(count, ptr[:-1]).astype(np.float64)
+    penalty = 0.5 * np.log(total + 1)
     alone = np.add.reduceat(log_ratio * count[:, None], ptr[:-1], axis=0)
     best = alone.argmax(axis=1)
     share = np.zeros((n, kinds))
     share[np.arange(n), best] = 1
     fit = alone[np.arange(n), best]
+    failed = np.zeros((n, kinds), bool)  # tried with the present set
     going = np.arange(n)
-    for _ in range(min(most, kinds) - 1):
+    while len(going):
         # Words of the texts that may still take another language.
         length = np.diff(ptr)[going]
         start = np.r_[0, np.cumsum(length)]
@@ -125,33 +132,50 @@ def mixtures(log_ratio: np.ndarray, count: np.ndarray, ptr: np.ndarray, rounds:
         text, q, c = np.repeat(np.arange(len(going)), length), ratio[rows], count[rows].astype(np.float64)
         mixture = (share[going][text] * q).sum(axis=1)
         slope = np.add.reduceat(q * (c / mixture)[:, None], start[:-1], axis=0) / total[going, None] - 1
-        slope[share[going] > 0] = -1
+        held = share[going] > 0
+        inside = np.where(held, slope, -1).max(axis=1)
+        slope[held | failed[going]] = -1
         new = slope.argmax(axis=1)
-        can = slope[np.arange(len(going)), new] > 1e-9
+        steepest = slope[np.arange(len(going)), new]
+        # The log-likelihood is concave: no mixture of the set and the new one gains more than the greatest slope times the words.
+        can = (steepest > 1e-9) & (total[going] * np.maximum(steepest, inside) > penalty[going] - 1e-6)
         if not can.any():
             break
         keep = can[text]
         text, q, c = (np.cumsum(can) - 1)[text[keep]], q[keep], c[keep]
         going, new, length = going[can], new[can], length[can]
-        start = np.r_[0, np.cumsum(length)][:-1]
         p = share[going] * 0.9
         p[np.arange(len(going)), new] = 0.1
-        for _ in range(rounds):
-            r = p[text] * q
-            r *= (c / r.sum(axis=1))[:, None]
-            step = np.add.reduceat(r, start, axis=0) / total[going, None]
-            moved, p = np.abs(step - p).max(), step
-            if moved < 1e-3:
-                break
-        after = np.add.reduceat(c * np.log((p[text] * q).sum(axis=1)), start)
-        won = after - fit[going] > 0.5 * np.log(total[going] + 1)
-        going = going[won]
-        share[going], fit[going] = p[won], after[won]
-        if not len(going):
-            break
+        _settle(p, q, c, length, total[going], rounds)
+        after = np.add.reduceat(c * np.log((p[text] * q).sum(axis=1)), np.r_[0, np.cumsum(length)][:-1])
+        won = after - fit[going] > penalty[going]
+        failed[going[~won], new[~won]] = True
+        failed[going[won]] = False
+        share[going[won]], fit[going[won]] = p[won], after[won]
     return share
 
 
+def _settle(p: np.ndarray, q: np.ndarray, c: np.ndarray, length: np.ndarray, total: np.ndarray, rounds: int | None) -> None:
+    """EM steps on the proportions ``p`` of each text, in place, until its own step is below ``TOLERANCE``.
+
+    ``q`` and ``c`` are the ratios and counts of the texts' words, ``length`` of them for each. Every step gains likelihood
+    by its divergence at least, and ``FLOOR`` bounds that, so large steps come to an end.
+    """
+    open_ = np.arange(len(p))
+    for _ in count_up() if rounds is None else range(rounds):
+        if not len(open_):
+            break
+        text, start = np.repeat(np.arange(len(open_)), length), np.r_[0, np.cumsum(length)][:-1]
+        r = p[open_][text] * q
+        r *= (c / r.sum(axis=1))[:, None]
+        step = np.add.reduceat(r, start, axis=0) / total[:, None]
+        still = np.abs(step - p[open_]).max(axis=1) >= TOLERANCE
+        p[open_] = step
+        if not still.all():
+            words = still[text]
+            open_, q, c, length, total = open_[still], q[words], c[words], length[still], total[still]
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, lang_pred, score and languages (name and proportion of the selected set, largest first) of each row.
 

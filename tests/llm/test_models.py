@@ -81,6 +81,22 @@ def test_arcs_of_each_state_sum_to_one(spark, make):
         assert math.isclose(((arcs - 0.7) / state_n[s]).sum() + 0.7 * state_k[s] / state_n[s], 1)
 
 
+def test_language_id_of_six_languages_in_one_text(make):
+    """Every language that the penalised likelihood takes is found, with its share."""
+    vocabularies = {f"l{k}": ["".join(letters[(i * j + j) % 6] for j in range(3, 8)) + letters[i % 6] for i in range(30)]
+                    for k, letters in enumerate(["abcdef", "ghijkl", "mnopqr", "stuvwx", "àáâãäå", "бвгджз"])}
+    docs = make([(k, " ".join(w)) for k, w in enumerate(vocabularies.values())]).withColumn("lang", F.concat(F.lit("l"), "doc_id"))
+    model = language_id.train(docs)
+    parts = {"l0": 120, "l1": 90, "l2": 60, "l3": 60, "l4": 45, "l5": 25}
+    text = " ".join(vocabularies[lang][i % 30] for lang, n in parts.items() for i in range(n))
+    mono = " ".join(vocabularies["l3"])
+    found = {r.doc_id: r for r in language_id.predict(make([(1, text), (2, mono)]), model).collect()}
+    got = {x["lang"]: x["share"] for x in found[1].languages}
+    assert got.keys() == parts.keys() and all(abs(got[k] - n / 400) < 0.02 for k, n in parts.items())
+    assert found[1].lang_pred == "l0" and abs(found[1].score - 0.3) < 0.02
+    assert [x["lang"] for x in found[2].languages] == ["l3"]
+
+
 def test_language_id_on_held_out(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("d"), "lang")
     found = QUERIES["op2_language_id"](spark, sf).join(docs, F.col("doc_id") == F.col("d")).where("held_out").collect()
