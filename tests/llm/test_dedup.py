@@ -139,6 +139,51 @@ def test_similar_lines_keep_one(make):
     assert got[1].endswith("end") and got[2] == "top" and got[3] == "" and got[4] == ""
 
 
+@pytest.mark.parametrize(("n_words", "least"), [(1, 1), (3, 1), (4, 1), (9, 0.97), (20, 0.97), (27, 0.97), (57, 0.97)])
+def test_recall_of_similar_lines(make, n_words, least):
+    """Pairs of lines with as many edits as a tenth allows: in one word, and (for short lines) anywhere."""
+    rng = np.random.default_rng(n_words)
+    word = lambda n: "".join(chr(97 + int(k)) for k in rng.integers(0, 26, n))
+    rows, n = [], 100
+    for i in range(n):
+        words = [word(int(rng.integers(4, 10)) if n_words > 1 else 12) for _ in range(n_words)]
+        line = " ".join(words)
+        if len(line) < 40:
+            other = list(line)
+            for k in rng.choice(len(line), len(line) // 10, replace=False):
+                other[k] = ["", "Q", other[k] + "z"][int(rng.integers(0, 3))]
+            other = "".join(other).lower()
+        else:
+            k = int(rng.integers(0, n_words))
+            words[k] = words[k][:1] + word(min(len(words[k]) - 1, len(line) // 10)) + words[k][1 + min(len(words[k]) - 1, len(line) // 10):]
+            other = " ".join(words)
+        line, other = brute.normal_line(line), brute.normal_line(other)
+        if line != other and brute.edit_distance(line, other) <= max(len(line), len(other)) // 10:
+            rows += [(2 * i, line), (2 * i + 1, other)]
+    assert len(rows) > n
+    gone = {r.doc_id for r in line_dedup.deduplicate(make(rows)).where("n_removed > 0").select("doc_id").collect()}
+    assert all(i % 2 for i in gone) and len(gone) >= least * len(rows) / 2
+
+
+def test_lines_query_against_plain_edit_distance(spark, sf, small):
+    norms = sorted({brute.normal_line(x) for _, t in small for x in (t or "").split("\n")} - {""})
+    lines = spark.createDataFrame(list(enumerate(norms)), "i int, x string").repartition(8).cache()
+    near = lines.alias("p").join(lines.alias("q"), F.expr("p.i < q.i and abs(length(p.x) - length(q.x)) <= greatest(length(p.x), length(q.x)) div 10"))
+    links = near.where("levenshtein(p.x, q.x, cast(greatest(length(p.x), length(q.x)) div 10 as int)) >= 0").select("p.i", F.col("q.i").alias("j")).collect()
+    group, seen, want = dict(zip(norms, brute.roots(len(norms), map(tuple, links)), strict=True)), {None}, {}
+    for id_, text in sorted(small):
+        parts = (text or "").split("\n")
+        kept = []
+        for line in parts:
+            g = group.get(brute.normal_line(line))
+            if g is None or g not in seen:
+                kept.append(line)
+            seen.add(g)
+        want[id_] = (len(parts) if text is not None else 0, len(parts) - len(kept), brute.sha("\n".join(kept)) if text is not None else None)
+    got = by_id(QUERIES["op10_line_dedup"](spark, sf))
+    assert {i: x for i, x in got.items() if want[i][2]} == {i: x for i, x in want.items() if x[2]}
+
+
 def test_lines_odd_rows(make, empty_docs):
     assert line_dedup.deduplicate(empty_docs).count() == 0
     rows = [(None, "a b\nc d"), (1, "a b\na b"), (1, "a b\na b"), (2, None), (3, "\n\n"), (None, "only here\nonly here")]
