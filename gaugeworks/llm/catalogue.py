@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.llm import (
+    alignment,
     byte_bpe,
     decontaminate,
     embedding_dups,
+    importance,
     language_id,
     line_dedup,
     lm,
@@ -16,8 +18,9 @@ from gaugeworks.llm import (
     substring_dedup,
     token_counts,
     token_files,
+    warc,
 )
-from gaugeworks.session import shared_folder
+from gaugeworks.session import scratch_folder, shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,10 +94,76 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20,
+                                n=1, buckets=10_000, seed=2024, keep=["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from uuid import uuid4
+
+    folder = f"{scratch_folder(spark)}/warc-{uuid4().hex}"
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder, least=1000)
+    found = warc.read_archives(spark, manifest)
+    return found.select(F.col("record_id").try_cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").try_cast("long").alias("refers_to"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))[0]
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_minhash_dedup, op2_language_id, op3_substring_dedup, op4_decontaminate, op5_embedding_dedup, op6_lm_score,
-              op7_byte_bpe, op8_token_files, op9_token_counts, op10_line_dedup)
+              op7_byte_bpe, op8_token_files, op9_token_counts, op10_line_dedup, op11_importance_resampling, op12_warc, op13_token_alignment)
 }
 
-SQL: dict[str, str] = {}
+# The table of crc32 by its polynomial, and the checksum of each distinct word by its bytes.
+IMPORTANCE_SQL = """with tab as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end)) t),
+raw as (
+  select 'd' side, doc_id id, coalesce(text, '') as "text" from documents
+  union all select 'b', item_id, coalesce(text, '') from benchmark),
+listed as (
+  select side, id, regexp_extract_all(translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') words from raw),
+used as (select side, id, w, count(*) n from (select side, id, unnest(words) w from listed) group by all),
+coded as (
+  select w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(encode(w)) * 2, 2),
+      lambda i: strpos('0123456789ABCDEF', substr(hex(encode(w)), i, 1)) * 16 + strpos('0123456789ABCDEF', substr(hex(encode(w)), i + 1, 1)) - 17)),
+    lambda c, x: xor(c // 256, t[xor(c, x) % 256 + 1])), 4294967295) % 10000 bucket
+  from (select distinct w from used), tab),
+counts as (
+  select bucket, sum(case when side = 'd' then n else 0 end) s, sum(case when side = 'b' then n else 0 end) t
+  from used join coded using (w) group by 1),
+totals as (select sum(s) all_s, sum(t) all_t from counts),
+gains as (
+  select bucket, floor(1000 * ln(cast((t + 1) * (all_s + 10000) as double) / cast((s + 1) * (all_t + 10000) as double))) gain
+  from counts, totals),
+heavy as (
+  select id, cast(floor(sum(n * gain) / sum(n)) as bigint) weight from used join coded using (w) join gains using (bucket)
+  where side = 'd' group by 1),
+scored as (
+  select id doc_id, len(words) n_features, coalesce(weight, 0) weight, coalesce(weight, 0) + cast(floor(-1000 * ln(-ln(
+      (list_reduce(list_transform(range(1, 9), lambda i: strpos('0123456789abcdef', substr(sha256('2024:' || id), i, 1)) - 1),
+        lambda a, d: a * 16 + d) + 0.5::double) / 4294967296))) as bigint) score
+  from listed left join heavy using (id) where side = 'd'),
+placed as (
+  select doc_id, row_number() over (order by score desc, doc_id) place, count(*) over () n from scored where n_features >= 20)
+select doc_id, cast(n_features as bigint) n_features, weight, score,
+  case when place <= 10 * n // 100 then place end as "rank"
+from scored left join placed using (doc_id)"""
+
+WARC_SQL = """with p as (select page_id, coalesce(html, '') payload from pages),
+f as (select *, octet_length(encode(payload)) size, max(page_id) over (partition by payload) largest from p)
+select page_id, cast(size as bigint) payload_bytes, sha1(payload) payload_digest,
+  case when size >= 1000 and page_id <> largest then 'revisit' else 'response' end record_type,
+  case when size >= 1000 and page_id <> largest then largest end refers_to
+from f"""
+
+#: Twins of the operators that SQL can state; tests hold the others against brute force.
+SQL: dict[str, str] = {"op11_importance_resampling": IMPORTANCE_SQL, "op12_warc": WARC_SQL}
