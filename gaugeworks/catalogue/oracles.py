@@ -88,13 +88,19 @@ NEW_DAILY = DAILY + """,
 batch as (select * from daily where datetime < date '2001-06-01'),
 fresh as (
   select 'C' || ec_station_id climate_id, * from batch
-  where (ec_station_id, datetime) not in (
-    select cast(l_suppkey as varchar), cast(l_shipdate as date) from lineitem where l_linestatus = 'F'))"""
+  where not exists (select 1 from lineitem where l_linestatus = 'F' and cast(l_suppkey as varchar) = ec_station_id
+    and cast(l_shipdate as date) = datetime))"""
 
 ADDED_DAILY = NEW_DAILY + """,
 added as (
   select case when cast(ec_station_id as int) % 10 <> 0 then 'C' || ec_station_id end climate_id, * from batch
-  where cast(ec_station_id as int) % 10 = 0 or (ec_station_id, datetime) in (select ec_station_id, datetime from fresh))"""
+  where cast(ec_station_id as int) % 10 = 0 or exists (
+    select 1 from fresh f where f.ec_station_id = batch.ec_station_id and f.datetime = batch.datetime))"""
+
+UNDATED = DAILY + """,
+undated as (
+  select ec_station_id, datetime, total_precip from daily
+  union all select cast(s_suppkey as varchar), null, null from supplier)"""
 
 SELECTORS = "'DD', '7', '42', 'EAE', 'IAB', 'ZZZ', '999999999', 'QQ', 'x', 'north shore'"
 
@@ -306,4 +312,27 @@ SQL: dict[str, str] = {
           year(datetime) "year", cast(null as int) "month", ec_station_id from daily
         union all select distinct '/raw/' || ec_station_id || '/hourly/en_climate_hourly_'
             || strftime(datetime, '%m-%Y') || '_P1H.csv', year(datetime), month(datetime), ec_station_id from hourly""",
+    "delete_after_daily": f"with {UNDATED} select * from undated where datetime is null or datetime < date '2000-03-01'",
+    "delete_after_hourly": f"with {UNDATED} select * from undated where datetime is null or datetime < date '1998-07-01'",
+    "delete_after_hourly_strict": f"with {UNDATED} select * from undated where datetime is null or year(datetime) < 1998 or month(datetime) <= 6",
+    "sql_station_months": f"""with {DAILY}, {STATIONS},
+      near as (
+        select station_id, province, 2 * 6371008.8 * asin(sqrt(pow(sin(radians(52 - lat) / 2), 2)
+          + cos(radians(lat)) * cos(radians(52)) * pow(sin(radians(-130 - lon) / 2), 2))) far from stations)
+      select station_id, province, strftime(datetime, '%Y-%m') "month", min(month(datetime) || '-' || day(datetime)) first_index,
+        {r6('total_precip', 'sum(total_precip)')}, {r6('distance', 'max(far)')}
+      from daily join near on station_id = ec_station_id
+      where far < 500000 and datetime between date '1996-02-01' and date '1997-12-31' group by 1, 2, 3""",
+    "stored_extremes": f"""with {DAILY} select min(datetime) min_datetime, max(datetime) max_datetime, min(year(datetime)) min_year,
+        max(year(datetime)) max_year, count(*) n_rows from daily""",
+    "named_records": f"""with {EVERYTHING}, spans as (
+        select ec_station_id, strftime(min(datetime), '%Y%m%d') a, strftime(max(datetime), '%Y%m%d') b from filled group by 1)
+      select 'stat_' || ec_station_id || '_' || a || '-' || b || '.csv' file, ec_station_id, datetime, {r6('total_precip')}, precip_intp_flag
+      from filled join spans using (ec_station_id)""",
+    "named_buckets": f"""with bucketed(ec_station_id, datetime, bucket) as (with {BUCKETS.format(step=5)}), {DAILY}
+      select 'daily_' || cast(ec_station_id as int) % 3 || '_' || bucket || '.csv' file, ec_station_id, datetime, total_precip
+      from bucketed join daily using (ec_station_id, datetime)""",
+    "missing_delivered": f"""with {DAILY}, planned as ({_plan("open", "'daily'")})
+      select * from planned p where not exists (select 1 from daily where ec_station_id = p.station_id and year(datetime) = p."year")""",
 }
+SQL |= {"insert_bucketed_daily": SQL["insert_daily"], "insert_bucketed_hourly": SQL["insert_hourly"], "rep_year_updated": SQL["rep_year"]}

@@ -20,8 +20,9 @@ from gaugeworks.functions import text as tx
 from gaugeworks.operators import climatology, coverage, gapfill, neighbours, tables, weights
 from gaugeworks.operators.union import union_by_name
 from gaugeworks.plans import backfill
+from gaugeworks.plans import gapfill as gapfill_jobs
 from gaugeworks.session import scratch_folder, written
-from gaugeworks.sources import observations, stations
+from gaugeworks.sources import catalog, named_files, observations, stations
 from gaugeworks.sources import tables as tables_io
 from gaugeworks.sources.tables import range_scan
 from gaugeworks.streaming import updates
@@ -287,6 +288,140 @@ def truncate_hourly_strict(spark, sf):
     return tables.truncate_hourly(fx.daily(spark, sf), "1998-06", strict=True).select(*OBSERVED)
 
 
+def _new_folder(spark, label):
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _with_undated(spark, sf):
+    """Daily rows, and one without a date for each station."""
+    undated = fx.stations(spark, sf).select(F.col("station_id").alias("ec_station_id"), "climate_id")
+    return union_by_name(fx.daily(spark, sf), undated)
+
+
+@query
+def delete_after_daily(spark, sf):
+    """A stored table after what is dated after February 2000 was deleted from it, twice."""
+    path = _new_folder(spark, "cut")
+    tables_io.write_observations(_with_undated(spark, sf), path, mode="overwrite")
+    for _ in range(2):
+        tables.delete_after(spark, path, "daily", "2000-02")
+    return tables_io.read_observations(spark, path, "daily").select(*OBSERVED)
+
+
+def _deleted_hours(strict):
+    def run(spark, sf):
+        path = _new_folder(spark, "cut")
+        rows = _with_undated(spark, sf).select(
+            "ec_station_id", F.col("datetime").cast("timestamp_ntz").alias("datetime"), "year", "month", F.col("total_precip").alias("temp"))
+        tables_io.write_observations(rows, path, mode="overwrite")
+        tables.delete_after(spark, path, "hourly", "1998-06", strict)
+        found = tables_io.read_observations(spark, path, "hourly")
+        return found.select("ec_station_id", F.col("datetime").cast("date").alias("datetime"), F.col("temp").alias("total_precip"))
+    return run
+
+
+QUERIES["delete_after_hourly"] = _deleted_hours(False)
+QUERIES["delete_after_hourly_strict"] = _deleted_hours(True)
+
+#: Buckets of the test tables' stored keys.
+BUCKETS = 4
+
+
+def _inserted_by_bucket(spark, sf, kind):
+    """A bucketed table after two inserts of the batch that ``insert_daily`` and ``insert_hourly`` insert."""
+    rows, stored, as_of, value = {
+        "daily": (fx.daily, _stored_daily, "2001-06-01", "total_precip"), "hourly": (fx.hourly, _stored_hourly, "2024-01-25", "temp"),
+    }[kind]
+    name, folder = f"gaugeworks_{uuid.uuid4().hex}", _new_folder(spark, "bucketed")
+    there = stored(spark, sf).distinct().withColumns({"ec_station_id": F.substring("climate_id", 2, 99), "station_name": F.lit("stored")})
+    catalog.register(spark, name, f"{folder}/{kind}", kind, BUCKETS)
+    catalog.add_rows(there, name)
+    tenth = F.col("ec_station_id").cast("int") % 10 == 0
+    once = rows(spark, sf).withColumn("climate_id", F.when(~tenth, F.col("climate_id")))
+    batch = written(once.unionByName(once.withColumn(value, F.col(value) + 1000).withColumn("year", F.col("year") + 1)), "batch", f"{folder}/batch")
+    for _ in range(2):
+        catalog.insert_new(batch, name, as_of)
+    return spark.table(name).where("station_name is null or station_name <> 'stored'")
+
+
+@query
+def insert_bucketed_daily(spark, sf):
+    return _inserted_by_bucket(spark, sf, "daily").select("climate_id", *OBSERVED)
+
+
+@query
+def insert_bucketed_hourly(spark, sf):
+    return rounded(_inserted_by_bucket(spark, sf, "hourly").select("climate_id", "ec_station_id", "datetime", "time", "temp"))
+
+
+@query
+def sql_station_months(spark, sf):
+    """SQL text over registered tables, with the library's functions: monthly precipitation of stations within 500 km of a place."""
+    folder, tag = _new_folder(spark, "registered"), uuid.uuid4().hex
+    tables_io.write_observations(fx.daily(spark, sf), f"{folder}/daily", mode="overwrite")
+    listed = fx.stations(spark, sf).withColumnsRenamed({"lat": "latitude_dd", "lon": "longitude_dd"})
+    none = spark.createDataFrame([], schemas.STATION_SCHEMA)
+    union_by_name(none, listed).select(none.columns).write.partitionBy("province").parquet(f"{folder}/stations")
+    catalog.register(spark, f"daily_{tag}", f"{folder}/daily", "daily")
+    catalog.register_stations(spark, f"stations_{tag}", f"{folder}/stations")
+    catalog.register_functions(spark)
+    return rounded(spark.sql(f"""
+        select s.station_id, s.province, year_month(d.datetime) as month, min(day_index(d.datetime)) as first_index,
+               sum(d.total_precip) as total_precip, max(station_distance(s.latitude_dd, s.longitude_dd, 52d, -130d)) as distance
+        from daily_{tag} d join stations_{tag} s on s.station_id = d.ec_station_id
+        where d.datetime between date'1996-02-01' and date'1997-12-31' and d.obs_year between 1996 and 1997
+          and station_distance(s.latitude_dd, s.longitude_dd, 52d, -130d) < 500000
+        group by s.station_id, s.province, year_month(d.datetime)"""))
+
+
+@query
+def rep_year_updated(spark, sf):
+    """Representative years kept up through three inserts that overlap, by the sums of the inserted rows alone."""
+    out = _new_folder(spark, "kept-up")
+    daily = written(fx.daily(spark, sf), "daily", f"{out}/arriving")
+    for run, before in enumerate(("1997-01-01", "1999-06-01", "2100-01-01")):
+        tables.incremental_insert(daily, f"{out}/daily", "daily", before, then=lambda new, run=run: gapfill_jobs.add_to_sums(new, out, str(run)))
+        gapfill_jobs.refresh_representative_years(spark, out)
+    return rounded(spark.read.parquet(f"{out}/{gapfill_jobs.YEAR}"))
+
+
+@query
+def stored_extremes(spark, sf):
+    """First and last date of a stored table from the files' footers, and its years from its directories."""
+    path = _new_folder(spark, "extremes")
+    tables_io.write_observations(_with_undated(spark, sf), path, mode="overwrite")
+    years = tables_io.years_stored(spark, path)
+    return tables_io.date_extremes(spark, path).withColumns({"min_year": F.lit(years[0]), "max_year": F.lit(years[-1])})
+
+
+@query
+def named_records(spark, sf):
+    """Filled records as files named by station and dates, read again with their names."""
+    path = _new_folder(spark, "named")
+    gapfill.write_named_records(_filled(spark, sf), path)
+    return rounded(_read_named(spark, path, "ec_station_id string, datetime date, total_precip double, precip_intp_flag string"))
+
+
+def _read_named(spark, path, columns):
+    header = spark.read.option("header", True).csv(path)
+    kinds = dict(x.split(" ") for x in columns.split(", "))
+    return header.select(F.col("_metadata.file_name").alias("file"), *(F.col(c).cast(t).alias(c) for c, t in kinds.items()))
+
+
+@query
+def named_buckets(spark, sf):
+    """Daily rows as files named by their bucket of five years, in three pieces each, read again with their names."""
+    path = _new_folder(spark, "named")
+    tables.write_named_buckets(fx.daily(spark, sf), path, "daily", 5, pieces=3, piece=F.col("ec_station_id").cast("int"))
+    return _read_named(spark, path, "ec_station_id string, datetime date, total_precip double")
+
+
+@query
+def missing_delivered(spark, sf):
+    """Planned daily files that are not among those on disk."""
+    return coverage.missing_files(_planned("daily")(spark, sf), observations.delivered_files(spark, _written_tree(spark, sf)))
+
+
 def _bucketed(step):
     def run(spark, sf):
         return tables.with_year_bucket(fx.daily(spark, sf), step).select("ec_station_id", "datetime", "bucket")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugeworks import schemas
 from gaugeworks.functions import calendar as cal
 from gaugeworks.session import file_system, remove, staged
-from gaugeworks.sources import tables
+from gaugeworks.sources import named_files, tables
 
 KEY = ("climate_id", "datetime")
 
@@ -53,24 +54,26 @@ def in_batch_range(stored: DataFrame, batch: DataFrame, column: str = "datetime"
 
 
 def incremental_insert(
-    batch: DataFrame, path: str, kind: str, as_of: dt.date | str, dedupe: bool = True, stage: bool = True
+    batch: DataFrame, path: str, kind: str, as_of: dt.date | str, dedupe: bool = True, stage: bool = True,
+    then: Callable[[DataFrame], None] | None = None,
 ) -> dict[str, object]:
     """Append the batch rows not stored yet to the table at ``path``; running twice adds nothing.
 
     A missing table is created. The cleaned batch is staged for the duration, so raw files are parsed a single time (``stage=False``
-    where it is a stored table already). Returns the figures for the update log.
+    where it is a stored table already). ``then`` is called with the rows that were inserted, for what is kept up with
+    the table. Returns the figures for the update log.
     """
     files, where = file_system(batch.sparkSession, path)
     if not files.exists(where):
         tables.create_table(batch.sparkSession, path, kind)
     current = before(batch, as_of)
     if not stage:
-        return _insert(current, path, kind, dedupe)
+        return _insert(current, path, kind, dedupe, then)
     with staged(current, f"batch-{kind}") as stored_batch:
-        return _insert(stored_batch, path, kind, dedupe)
+        return _insert(stored_batch, path, kind, dedupe, then)
 
 
-def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool) -> dict[str, object]:
+def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool, then: Callable[[DataFrame], None] | None) -> dict[str, object]:
     n, lo, hi, years = batch.agg(  # the years are a handful of numbers
         F.count(F.lit(1)), F.min("datetime"), F.max("datetime"), F.collect_set(F.year("datetime"))).first()
     facts = {"table": kind, "batch_rows": n, "inserted_rows": 0, "min_dt": None, "max_dt": None}
@@ -78,8 +81,13 @@ def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool) -> dict[str, o
         stored = tables.read_observations(batch.sparkSession, path, kind)
         if lo is not None:
             stored = tables.range_scan(stored, "datetime", lo, hi).where(F.col(tables.PARTITION).isin(years))
-        added = Observation()
-        tables.write_observations(rows_to_insert(batch, stored, dedupe=dedupe), path, watch=added)
+        added, new = Observation(), rows_to_insert(batch, stored, dedupe=dedupe)
+        if then is None:
+            tables.write_observations(new, path, watch=added)
+        else:
+            with staged(new, f"new-{kind}") as rows:
+                tables.write_observations(rows, path, watch=added)
+                then(rows)
         facts |= {"inserted_rows": added.get["n"], "min_dt": str(lo), "max_dt": str(hi)}
     return facts
 
@@ -115,10 +123,19 @@ def _last_day(maxdate: dt.date | str) -> dt.date:
     return (month.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
 
 
+def _late(kind: str, maxdate: dt.date | str, strict: bool = False) -> Column:
+    """Whether a row is dated after ``maxdate``: by its date if daily, by its columns year and month if hourly."""
+    last = _last_day(maxdate)
+    if kind == "daily":
+        return F.coalesce(F.col("datetime") > F.lit(last), F.lit(False))
+    year, month = F.col("year"), F.col("month")
+    late = (year >= last.year) & (month > last.month) if strict else year * 12 + month > last.year * 12 + last.month
+    return F.coalesce(late, F.lit(False))
+
+
 def truncate_daily(df: DataFrame, maxdate: dt.date | str) -> DataFrame:
     """Drop rows dated after ``maxdate``; undated rows stay."""
-    late = F.col("datetime") > F.lit(_last_day(maxdate))
-    return df.where(~F.coalesce(late, F.lit(False)))
+    return df.where(~_late("daily", maxdate))
 
 
 def truncate_hourly(df: DataFrame, maxdate: dt.date | str, strict: bool = False) -> DataFrame:
@@ -126,26 +143,61 @@ def truncate_hourly(df: DataFrame, maxdate: dt.date | str, strict: bool = False)
 
     ``strict=True`` compares year and month separately, which keeps the early months of later years.
     """
-    last = _last_day(maxdate)
-    year, month = F.col("year"), F.col("month")
-    if strict:
-        late: Column = (year >= last.year) & (month > last.month)
-    else:
-        late = year * 12 + month > last.year * 12 + last.month
-    return df.where(~F.coalesce(late, F.lit(False)))
+    return df.where(~_late("hourly", maxdate, strict))
+
 
+def delete_after(spark: SparkSession, path: str, kind: str, maxdate: dt.date | str, strict: bool = False) -> dict[str, object]:
+    """Delete from the table at ``path`` what :func:`truncate_daily` or :func:`truncate_hourly` drops.
 
-def with_year_bucket(df: DataFrame, step: int, year: str = "year") -> DataFrame:
-    """Add ``bucket``, the label of the row's piece of the years present (10 daily, 5 hourly)."""
-    lo, hi = df.agg(F.min(year), F.max(year)).first()
+    One scan of the dates counts the rows to delete in each year. Years that lose all rows go by directory, those that lose
+    some are rewritten, one directory each, and files of all others are left alone. Rows that stay in a year are staged
+    before their directory is replaced; running again deletes nothing. Returns years dropped, years rewritten and rows deleted.
+    """
+    stored, late = tables.read_observations(spark, path, kind), _late(kind, maxdate, strict)
+    # A day's year is that of its directory; hours go by columns of their own.
+    scanned = stored.where(F.col(tables.PARTITION) >= _last_day(maxdate).year) if kind == "daily" else stored
+    hit = scanned.groupBy(tables.PARTITION).agg(F.count_if(late).alias("late"), F.count("*").alias("n")).where("late > 0").collect()  # years
+    dropped, cut = ([row[0] for row in hit if (row["late"] == row["n"]) == whole] for whole in (True, False))
+    if cut:
+        year = F.col(tables.PARTITION)
+        chosen = year.isin([y for y in cut if y is not None]) | (year.isNull() if None in cut else F.lit(False))
+        with staged(stored.where(chosen).where(~late).drop(tables.PARTITION), f"kept-{kind}") as kept:
+            tables.write_observations(kept, path, mode="overwrite", only_years=True)
+    for y in dropped:
+        remove(spark, tables.partition_folder(path, y))
+    by_age = {"key": lambda y: (y is not None, y or 0)}
+    return {"dropped": sorted(dropped, **by_age), "rewritten": sorted(cut, **by_age), "deleted_rows": sum(row["late"] for row in hit)}
+
+
+def with_year_bucket(df: DataFrame, step: int, year: str = "year", span: tuple[int | None, int | None] | None = None) -> DataFrame:
+    """Add ``bucket``, the label of the row's piece of the years present (10 daily, 5 hourly).
+
+    ``span``, the first and the last year, spares a scan where it is known (see :func:`gaugeworks.sources.tables.years_stored`).
+    """
+    lo, hi = span or df.agg(F.min(year), F.max(year)).first()
     if lo is None:
         return df.withColumn("bucket", F.lit(None).cast("string"))
     return df.withColumn("bucket", cal.year_bucket(F.col(year), int(lo), int(hi), step))
 
 
-def write_year_buckets(df: DataFrame, path: str, step: int, year: str = "year") -> None:
+def write_year_buckets(df: DataFrame, path: str, step: int, year: str = "year", span: tuple[int | None, int | None] | None = None) -> None:
     """One directory of CSV files per year bucket; rows are gathered by bucket, and large ones are split again."""
-    with_year_bucket(df, step, year).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").csv(path, header=True)
+    with_year_bucket(df, step, year, span).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").csv(path, header=True)
+
+
+def write_named_buckets(
+    df: DataFrame, path: str, label: str, step: int, year: str = "year", span: tuple[int | None, int | None] | None = None,
+    pieces: int = 1, piece: Column | None = None,
+) -> None:
+    """CSV files ``<label>_<piece>_<lo>-<hi>.csv``, one for each year bucket and piece of its stations.
+
+    A file is one task's work, so give as many ``pieces`` as make a bucket of bounded size. Stations are dealt to them by a hash
+    of their id, or by the whole number ``piece`` modulo their number. Rows without a year are left out.
+    """
+    dealt = F.pmod(F.xxhash64("ec_station_id") if piece is None else piece, F.lit(pieces))
+    bucketed = with_year_bucket(df, step, year, span).where("bucket is not null")
+    name = F.concat_ws("_", F.lit(label), dealt.cast("string"), "bucket")
+    named_files.write_named(bucketed, path, name, sort=("ec_station_id", "datetime"))
 
 
 def newest_dates(df: DataFrame, column: str, n: int = 3) -> DataFrame:

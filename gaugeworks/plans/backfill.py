@@ -34,3 +34,8 @@ def backfill(spark: SparkSession, raw: str, out: str, maxdate: dt.date | str, ki
     for kind in kinds:
         parsed = observations.read_observation_tree(spark, raw, kind)
         tables.write_observations(TRUNCATE[kind](parsed, maxdate), f"{out}/{kind}", mode="overwrite")
+
+
+def truncate(spark: SparkSession, out: str, maxdate: dt.date | str, kinds=("daily", "hourly"), strict: bool = False) -> list[dict[str, object]]:
+    """Delete from the stored tables what is dated after ``maxdate``; returns what was done to each."""
+    return [{"table": kind, **upkeep.delete_after(spark, f"{out}/{kind}", kind, maxdate, strict)} for kind in kinds]

@@ -9,19 +9,73 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import climatology, gapfill, weights
 from gaugeworks.plans.backfill import read_station_table
+from gaugeworks.session import file_system, remove, staged
 from gaugeworks.sources import stations, tables
 
 
 def _known(spark: SparkSession, out: str) -> DataFrame:
     listed = read_station_table(spark, out)
     places = listed.select("station_id", F.col("latitude_dd").alias("lat"), F.col("longitude_dd").alias("lon"))
-    return weights.station_profiles(places, spark.read.parquet(f"{out}/precip_representative_year"))
+    return weights.station_profiles(places, spark.read.parquet(f"{out}/{YEAR}"))
+
+
+SUMS, YEAR = "precip_day_sums", "precip_representative_year"
 
 
 def rebuild_representative_years(spark: SparkSession, out: str) -> None:
-    daily = tables.read_observations(spark, f"{out}/daily", "daily")
-    year = climatology.representative_year(daily)
-    year.write.mode("overwrite").parquet(f"{out}/precip_representative_year")
+    """Replace the stored sums by day and the representative years by those of the whole daily table."""
+    sums = climatology.day_sums(tables.read_observations(spark, f"{out}/daily", "daily"))
+    sums.write.mode("overwrite").parquet(f"{out}/{SUMS}/run=all")
+    for run in _runs(spark, out):
+        if run != "run=all":
+            remove(spark, f"{out}/{SUMS}/{run}")
+    _store_years(spark, out)
+
+
+def add_to_sums(inserted: DataFrame, out: str, run: str) -> None:
+    """Store the sums by day of rows that were inserted, as those of one run; a run that is repeated replaces its own."""
+    climatology.day_sums(inserted).write.mode("overwrite").parquet(f"{out}/{SUMS}/run={run}")
+
+
+def refresh_representative_years(spark: SparkSession, out: str) -> bool:
+    """Bring the representative years up to date by the stored sums alone; no observation is read.
+
+    Should the sums count other rows than the table's files do (an update broke off between the two), everything is rebuilt,
+    and the answer is False. After many runs their sums are put together.
+    """
+    runs = _runs(spark, out)
+    if not runs:
+        rebuild_representative_years(spark, out)
+        return False
+    sums = spark.read.parquet(*(f"{out}/{SUMS}/{run}" for run in runs))
+    counted = sums.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    dated = tables.read_observations(spark, f"{out}/daily", "daily").where(F.col(tables.PARTITION).isNotNull())
+    if counted != dated.count():  # a count of rows comes from the footers
+        rebuild_representative_years(spark, out)
+        return False
+    if len(runs) > MOST_RUNS:
+        with staged(climatology.added_sums(sums), "sums") as together:
+            together.write.mode("overwrite").parquet(f"{out}/{SUMS}/run=all")
+        for run in runs:
+            if run != "run=all":
+                remove(spark, f"{out}/{SUMS}/{run}")
+    _store_years(spark, out)
+    return True
+
+
+#: Runs whose sums lie side by side before they are added up.
+MOST_RUNS = 32
+
+
+def _runs(spark: SparkSession, out: str) -> list[str]:
+    """Folders of the runs whose sums are stored, one for each update since they were last put together."""
+    files, where = file_system(spark, f"{out}/{SUMS}/run=*/_SUCCESS")
+    return sorted(s.getPath().getParent().getName() for s in files.globStatus(where) or [])
+
+
+def _store_years(spark: SparkSession, out: str) -> None:
+    sums = spark.read.parquet(*(f"{out}/{SUMS}/{run}" for run in _runs(spark, out)))
+    climatology.year_of_sums(sums).write.mode("overwrite").parquet(f"{out}/{YEAR}")
 
 
 def rebuild_pairwise_weights(spark: SparkSession, out: str, targets: DataFrame | None = None) -> None:

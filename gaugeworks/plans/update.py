@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import SparkSession
 
 from gaugeworks.operators import tables as upkeep
+from gaugeworks.plans import gapfill
 from gaugeworks.plans.backfill import write_station_tables
 from gaugeworks.session import staged
 from gaugeworks.sources import observations
@@ -15,11 +17,12 @@ from gaugeworks.sources import observations
 def update(
     spark: SparkSession, raw: str, out: str, as_of: dt.date, station_list: str | None = None,
     kinds=("daily", "hourly"), keep_snapshots: int = 3, days_back: int | None = None,
+    years: bool = False,
 ) -> list[dict[str, object]]:
     """Run one update and return its log rows. Running it again inserts nothing.
 
     ``days_back`` opens only files that by their names hold months from so many days ago up to ``as_of``; without it
-    the whole tree is read.
+    the whole tree is read. ``years`` keeps the representative years up with the daily table, from the inserted rows alone.
     """
     window = {}
     if days_back is not None:
@@ -30,9 +33,12 @@ def update(
     for kind in kinds:
         parsed = observations.read_observation_tree(spark, raw, kind, **window)
         with staged(parsed, f"batch-{kind}") as batch:
-            facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of, stage=False)
+            keep_up = (lambda new: gapfill.add_to_sums(new, out, uuid.uuid4().hex)) if kind == "daily" and years else None
+            facts = upkeep.incremental_insert(batch, f"{out}/{kind}", kind, as_of, stage=False, then=keep_up)
             upkeep.append_update_log(spark, f"{out}/update_log", facts, dt.datetime.now())
             if keep_snapshots:
                 upkeep.archive_snapshot(batch, f"{out}/archive/{kind}", as_of, keep_snapshots)
         rows.append(facts)
+    if years and "daily" in kinds:
+        gapfill.refresh_representative_years(spark, out)
     return rows

@@ -1,0 +1,169 @@
+"""Stored tables: deletes in place, buckets, footers, SQL names, kept-up years, and named files."""
+
+import datetime as dt
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from gaugeworks.operators import climatology, gapfill
+from gaugeworks.operators import tables as upkeep
+from gaugeworks.plans import backfill
+from gaugeworks.plans import gapfill as jobs
+from gaugeworks.sources import catalog, named_files, tables
+
+D = dt.date
+SCHEMA = "climate_id string, ec_station_id string, station_name string, datetime date, year int, month int, total_precip double"
+
+
+def days(spark, *dates, station="1", climate="C1"):
+    rows = [(climate, station, f"S{station}", d, d and d.year, d and d.month, 1.0 * k) for k, d in enumerate(dates)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def files_of(path):
+    return {str(p.relative_to(path)) for p in Path(path).rglob("*.parquet")}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_delete_leaves_files_of_other_years_alone(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    tables.write_observations(days(spark, D(1999, 5, 1), D(2000, 1, 1), D(2000, 2, 29), D(2000, 3, 1), D(2001, 1, 1), D(2002, 1, 1), None), path)
+    before = files_of(path)
+    facts = upkeep.delete_after(spark, path, "daily", "2000-02")
+    assert facts == {"dropped": [2001, 2002], "rewritten": [2000], "deleted_rows": 3}
+    after = files_of(path)
+    same = {f for f in before if "=1999" in f or "HIVE_DEFAULT" in f}
+    assert len(same) == 2 and same <= after and len(after) == 3
+    left = tables.read_observations(spark, path, "daily")
+    assert sorted((str(r.datetime) for r in left.collect())) == ["1999-05-01", "2000-01-01", "2000-02-29", "None"]
+    assert upkeep.delete_after(spark, path, "daily", "2000-02") == {"dropped": [], "rewritten": [], "deleted_rows": 0} and files_of(path) == after
+    assert backfill.truncate(spark, str(tmp_path), "1990", ["daily"])[0]["dropped"] == [1999, 2000]
+    assert tables.read_observations(spark, path, "daily").count() == 1
+
+
+def test_delete_of_hours_goes_by_their_columns(spark, tmp_path):
+    path = str(tmp_path / "hourly")
+    rows = [(dt.datetime(2000, 1, 1), 2000, 1), (dt.datetime(2000, 1, 1), 2000, 7), (None, 2001, 1), (None, None, 1), (None, 1999, 12), (dt.datetime(2001, 1, 1), 1999, 1)]
+    df = spark.createDataFrame(rows, "datetime timestamp_ntz, year int, month int")
+    for strict, kept in ((False, {(2000, 1), (None, 1), (1999, 12), (1999, 1)}), (True, {(2000, 1), (2001, 1), (None, 1), (1999, 12), (1999, 1)})):
+        tables.write_observations(df, path, mode="overwrite")
+        upkeep.delete_after(spark, path, "hourly", "2000-06", strict)
+        assert {(r.year, r.month) for r in tables.read_observations(spark, path, "hourly").collect()} == kept
+
+
+def test_delete_from_an_empty_table(spark, tmp_path):
+    tables.create_table(spark, str(tmp_path), "daily")
+    assert upkeep.delete_after(spark, str(tmp_path), "daily", "2000")["deleted_rows"] == 0
+
+
+def test_insert_by_bucket_shuffles_no_stored_row(spark, tmp_path):
+    path, name = str(tmp_path / "daily"), "bucketed_for_test"
+    catalog.register(spark, name, path, "daily", 3)
+    catalog.add_rows(days(spark, D(2000, 1, 1), D(2000, 1, 2), None), name)
+    catalog.add_rows(days(spark, D(2000, 1, 1), climate=None), name)
+    batch = days(spark, D(2000, 1, 2), D(2000, 1, 3), D(2000, 1, 3), None, D(2001, 1, 1)).unionByName(
+        days(spark, D(2000, 1, 1), D(2000, 1, 4), climate=None, station="7")).unionByName(days(spark, D(2000, 1, 4), climate=None, station="8"))
+    plain = upkeep.rows_to_insert(batch, spark.table(name))
+    fresh = catalog.new_rows(batch, spark.table(name))
+    key = lambda df: sorted(((r.climate_id, r.ec_station_id, r.datetime, r.total_precip) for r in df.collect()), key=str)
+    assert key(fresh) == key(plain) and len(key(fresh)) == 4
+    batch.write.parquet(str(tmp_path / "batch"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        full = plan_of(catalog.new_rows(spark.read.schema(batch.schema).parquet(str(tmp_path / "batch")), spark.table(name)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Of two joins the first one is bucket against bucket: what is stored is sorted within its buckets and goes nowhere.
+    first, second = full.split("SortMergeJoin")[1:]
+    assert first.count("Exchange") - first.count("Exchange", first.index("Bucketed: true")) == 1 and "Bucketed: true" in first
+    assert "Exchange" not in first[first.index("Exchange") + 8 : first.index("Bucketed: true")]
+    assert catalog.insert_new(batch, name, D(2001, 1, 1)) == {
+        "table": name, "batch_rows": 6, "inserted_rows": 3, "min_dt": "2000-01-01", "max_dt": "2000-01-04"}
+    assert catalog.insert_new(batch, name, D(2001, 1, 1))["inserted_rows"] == 0
+    spark.sql(f"DROP TABLE {name}")
+    assert catalog.register(spark, name, path, "daily", 3).count() == 7  # found again under a new name
+    assert catalog.insert_new(batch.where("false"), name, D(2001, 1, 1))["batch_rows"] == 0
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_extremes_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    tables.write_observations(days(spark, D(1999, 5, 1), D(2002, 3, 1), None), path)
+    tables.write_observations(days(spark, D(2004, 5, 1)).select("climate_id", "datetime"), path)
+    found = tables.date_extremes(spark, path)
+    assert tuple(found.first()) == (D(1999, 5, 1), D(2004, 5, 1), 3)
+    plan = plan_of(found)
+    assert "MIN(datetime)" in plan and "MAX(datetime)" in plan and "ReadSchema: struct<min(datetime)" in plan
+    assert tables.years_stored(spark, path) == [1999, 2002, 2004] and tables.years_stored(spark, str(tmp_path / "none")) == []
+    found = upkeep.with_year_bucket(tables.read_observations(spark, path, "daily"), 3, tables.PARTITION, (1999, 2004))
+    assert {r.bucket for r in found.collect()} == {"1999-2004", None}
+
+
+def test_functions_of_sql_are_those_of_the_library(spark):
+    from gaugeworks.functions import geo, text
+
+    catalog.register_functions(spark)
+    spark.createDataFrame([(49.0, -123.0, 50.5, -121.0, "<31.5"), (49.0, -123.0, 49.0, -123.0, "M"), (0.0, 0.0, 0.0, 180.0, None)],
+                          "a double, b double, c double, d double, raw string").createOrReplaceTempView("points")
+    far = geo.haversine(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
+    own = spark.table("points").select(F.round(far, 3), text.number(text.digits_only(F.col("raw")))).collect()
+    sql = spark.sql("select round(station_distance(a, b, c, d), 3), speed_of(raw) from points").collect()
+    assert list(map(tuple, own)) == list(map(tuple, sql))
+    assert tuple(spark.sql("select day_index(date'2001-02-03'), year_month(date'2001-02-03')").first()) == ("2-3", "2001-02")
+
+
+def test_years_are_kept_up_by_inserted_rows_alone(spark, tmp_path, monkeypatch):
+    out = str(tmp_path)
+    monkeypatch.setattr(jobs, "MOST_RUNS", 2)
+    read = []
+    monkeypatch.setattr(jobs.climatology, "day_sums", lambda df, value="total_precip", f=climatology.day_sums: (read.append(df), f(df, value))[1])
+    key = lambda: sorted((tuple(r) for r in spark.read.parquet(f"{out}/{jobs.YEAR}").collect()), key=str)
+    batch = days(spark, D(2000, 1, 1), D(2001, 1, 1), D(2001, 2, 1))
+    for run, day in enumerate(((2000, 6, 1), (2001, 1, 15), (2001, 1, 15), (2002, 1, 1))):
+        upkeep.incremental_insert(batch, f"{out}/daily", "daily", D(*day), then=lambda new, run=run: jobs.add_to_sums(new, out, str(run)))
+        assert jobs.refresh_representative_years(spark, out)
+        kept = key()
+        year = climatology.year_of_sums(climatology.added_sums(climatology.day_sums(tables.read_observations(spark, f"{out}/daily", "daily"))))
+        assert kept == sorted((tuple(r) for r in year.collect()), key=str)
+    assert len(read) == 4 + 4 and len(jobs._runs(spark, out)) <= 3  # the inserted rows each time, and the test's own
+    assert "new-daily" in read[0].inputFiles()[0] if read[0].inputFiles() else True
+    # An update that broke off after its insert is noticed.
+    upkeep.incremental_insert(days(spark, D(2003, 1, 1)), f"{out}/daily", "daily", D(2004, 1, 1))
+    assert not jobs.refresh_representative_years(spark, out) and jobs.refresh_representative_years(spark, out)
+    assert [r[4] for r in key()] == [3, 1]
+
+
+def test_named_files(spark, tmp_path):
+    path = str(tmp_path / "named")
+    rows = days(spark, D(2000, 1, 5), D(1999, 12, 31), D(2000, 1, 1)).unionByName(days(spark, None, station="a/b")).unionByName(days(spark, D(2000, 1, 1), None, station="2"))
+    gapfill.write_named_records(rows, path)
+    names = {"stat_1_19991231-20000105.csv", "stat_a_b.csv", "stat_2_20000101-20000101.csv"}
+    assert {p.name for p in Path(path).iterdir()} == names
+    assert [x.split(",")[3] for x in (Path(path) / "stat_1_19991231-20000105.csv").read_text().split("\n")[1:-1]] == ["1999-12-31", "2000-01-01", "2000-01-05"]
+    gapfill.write_named_records(days(spark, D(2001, 1, 1), station="3"), path, mode="append")
+    assert {p.name for p in Path(path).iterdir()} == names | {"stat_3_20010101-20010101.csv"}
+    gapfill.write_named_records(days(spark, D(2001, 1, 1), station="3"), path)
+    assert {p.name for p in Path(path).iterdir()} == {"stat_3_20010101-20010101.csv"}
+    gapfill.write_named_records(rows.where("false"), str(tmp_path / "none"))
+    buckets = spark.range(1990, 2023).select(F.col("id").cast("int").alias("year"), F.lit("7").alias("ec_station_id"), F.lit(None).cast("date").alias("datetime"))
+    upkeep.write_named_buckets(buckets, str(tmp_path / "b"), "daily", 10)
+    assert {p.name for p in (tmp_path / "b").iterdir()} == {"daily_0_2012-2022.csv", "daily_0_2002-2012.csv", "daily_0_1990-2002.csv"}
+
+
+def test_a_failed_write_leaves_no_file_and_keeps_the_old(spark, tmp_path):
+    path = str(tmp_path / "named")
+    gapfill.write_named_records(days(spark, D(2000, 1, 1)), path)
+    old = {p.name for p in Path(path).iterdir()}
+    bad = days(spark, D(2001, 1, 1), D(2002, 1, 1), station="5").withColumn(
+        "total_precip", F.when(F.col("year") < 2002, F.col("total_precip")).otherwise(F.raise_error(F.lit("broken")).cast("double")))
+    with pytest.raises(PySparkException):
+        gapfill.write_named_records(bad.unionByName(days(spark, D(2001, 1, 1), station="6")), path)
+    assert {p.name for p in Path(path).iterdir()} == old
+    writer = named_files.NamedCsvWriter(path, ["a"], True)
+    with pytest.raises(ValueError, match="one name"):
+        writer.commit([named_files.Written([("x", "n", "", "")]), named_files.Written([("y", "n", "", "")])])
