@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.operators import tables as upkeep
@@ -201,3 +202,23 @@ def test_files_of_a_window(spark, tree):
     assert {str(r.datetime)[:4] for r in got} == {"2000"}
     assert observations.read_observation_tree(spark, tree, "hourly", first="2000-02").count() == 0
     assert observations.read_observation_tree(spark, tree, "hourly", last="2000-01").count() == 2
+
+
+def test_wide_files_and_quoted_commas(spark):
+    """A header of ninety fields, names with commas and doubled quotes, and a file without a header beside it."""
+    extra = [f'"Extra, no. ""{i}"""' for i in range(88)]
+    wide = ",".join([*extra[:70], '"Date/Time"', *extra[70:], '"Total Precip (mm)"'])
+    data = ",".join([*(['"1,5 ""x"""'] * 70), "2001-02-03", *([""] * 18), '"7.5"'])
+    files = spark.createDataFrame([("/r/1/daily/a_2001_P1D.csv", f"about date/time, below\n{wide}\n{data}\n"), ("/r/2/daily/b_2001_P1D.csv", "no header\n1,2")], "path string, content string")
+    row, = observations.parse_files(files, "daily").collect()
+    assert (row.ec_station_id, str(row.datetime), row.total_precip) == ("1", "2001-02-03", 7.5)
+    assert [r.path for r in observations.files_without_header(files).collect()] == ["/r/2/daily/b_2001_P1D.csv"]
+
+
+@pytest.mark.parametrize("line, fields", [
+    ("", [""]), (",", ["", ""]), ("a,b", ["a", "b"]), ('"a,b",c', ["a,b", "c"]), ('"",""', ["", ""]), ('"say ""hi""",x', ['say "hi"', "x"]),
+    ('"""",y', ['"', "y"]), (',"a"', ["", "a"]), ('a"b,c', ['a"b', "c"]), ('"open,c', ['"open', "c"]), ('x,"' + "q" * 100_000 + '"', ["x", "q" * 100_000])])
+def test_csv_fields(spark, line, fields):
+    from gaugeworks.functions import text
+
+    assert spark.createDataFrame([(line,)], "line string").select(text.csv_fields(F.col("line"))).first()[0] == fields
