@@ -144,18 +144,18 @@ def normal_line(line: str) -> str:
     return re.sub(r"[ \t\r]+", " ", line).lower().strip(" ")
 
 
-def lines(docs: list[tuple], hash64, bits: int = 3, distance: float = 0.1) -> dict:
-    """doc_id -> (n_lines, n_removed, text), for distinct ids; ``hash64`` is the hash of words (as unsigned integers)."""
-    distinct = sorted({normal_line(x) for _, t in docs for x in (t or "").split("\n")} - {""})
-
-    def simhash(line: str) -> int:
-        votes = [hash64[w] for w in set(line.split(" "))]
-        return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in votes) > len(votes))
-
-    sims = [simhash(x) for x in distinct]
-    links = [(i, j) for j, y in enumerate(distinct) for i, x in enumerate(distinct[:j])
-             if (sims[i] ^ sims[j]).bit_count() <= bits and edit_distance(x, y) <= int(distance * max(len(x), len(y)))]
-    group = dict(zip(distinct, roots(len(distinct), links), strict=True))
+def similar_lines(spark, docs: list[tuple], distance: int = 10) -> dict[str, int]:
+    """Group of each distinct normalised line: all pairs whose edit distance is at most a tenth of the longer one's length."""
+    norms = sorted({normal_line(x) for _, t in docs for x in (t or "").split("\n")} - {""})
+    lines = spark.createDataFrame(list(enumerate(norms)), "i int, x string").repartition(8).cache()
+    most = f"cast(greatest(length(p.x), length(q.x)) div {distance} as int)"
+    near = lines.alias("p").join(lines.alias("q")).where(f"p.i < q.i and abs(length(p.x) - length(q.x)) <= {most}")
+    links = near.where(f"levenshtein(p.x, q.x, {most}) >= 0").selectExpr("p.i", "q.i as j").collect()
+    return dict(zip(norms, roots(len(norms), map(tuple, links)), strict=True))
+
+
+def lines(docs: list[tuple], group: dict[str, int]) -> dict:
+    """doc_id -> (n_lines, n_removed, text), for distinct ids; ``group`` comes from :func:`similar_lines`."""
     seen, out = set(), {}
     for id_, text in sorted(docs, key=lambda d: d[0]):
         kept = []

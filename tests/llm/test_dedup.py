@@ -113,23 +113,17 @@ def test_automaton_knows_all_substrings():
         automaton.add(text)
 
 
-def word_hashes(spark, rows):
-    words = sorted({w for _, t in rows for x in (t or "").split("\n") for w in brute.normal_line(x).split(" ")})
-    df = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h"))
-    return {r.w: r.h % (1 << 64) for r in df.collect()}
-
-
 def test_lines_by_hand(spark, hand_docs, hand_rows):
     found = line_dedup.deduplicate(hand_docs)
     assert found.columns == [*hand_docs.columns, "n_lines", "n_removed"]
     got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in found.collect()}
-    assert got == brute.lines(hand_rows, word_hashes(spark, hand_rows))
+    assert got == brute.lines(hand_rows, brute.similar_lines(spark, hand_rows))
 
 
 def test_lines_query(spark, sf, small):
-    want = brute.lines(small, word_hashes(spark, small))
+    want = brute.lines(small, brute.similar_lines(spark, small))
     got = by_id(QUERIES["op10_line_dedup"](spark, sf))
-    assert got == {i: (n, gone, brute.sha(text)) for i, (n, gone, text) in want.items()}
+    assert got == {i: (n, k, brute.sha(t or "")) for i, (n, k, t) in want.items()}
 
 
 def test_similar_lines_keep_one(make):
@@ -165,25 +159,6 @@ def test_recall_of_similar_lines(make, n_words, least):
     assert all(i % 2 for i in gone) and len(gone) >= least * len(rows) / 2
 
 
-def test_lines_query_against_plain_edit_distance(spark, sf, small):
-    norms = sorted({brute.normal_line(x) for _, t in small for x in (t or "").split("\n")} - {""})
-    lines = spark.createDataFrame(list(enumerate(norms)), "i int, x string").repartition(8).cache()
-    near = lines.alias("p").join(lines.alias("q"), F.expr("p.i < q.i and abs(length(p.x) - length(q.x)) <= greatest(length(p.x), length(q.x)) div 10"))
-    links = near.where("levenshtein(p.x, q.x, cast(greatest(length(p.x), length(q.x)) div 10 as int)) >= 0").select("p.i", F.col("q.i").alias("j")).collect()
-    group, seen, want = dict(zip(norms, brute.roots(len(norms), map(tuple, links)), strict=True)), {None}, {}
-    for id_, text in sorted(small):
-        parts = (text or "").split("\n")
-        kept = []
-        for line in parts:
-            g = group.get(brute.normal_line(line))
-            if g is None or g not in seen:
-                kept.append(line)
-            seen.add(g)
-        want[id_] = (len(parts) if text is not None else 0, len(parts) - len(kept), brute.sha("\n".join(kept)) if text is not None else None)
-    got = by_id(QUERIES["op10_line_dedup"](spark, sf))
-    assert {i: x for i, x in got.items() if want[i][2]} == {i: x for i, x in want.items() if x[2]}
-
-
 def test_lines_odd_rows(make, empty_docs):
     assert line_dedup.deduplicate(empty_docs).count() == 0
     rows = [(None, "a b\nc d"), (1, "a b\na b"), (1, "a b\na b"), (2, None), (3, "\n\n"), (None, "only here\nonly here")]

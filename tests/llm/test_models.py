@@ -159,7 +159,7 @@ def test_pipeline_stages_against_brute_force(spark, sf, small, small_docs):
     texts = {i: t for i, t in texts.items() if t and any(c.isalpha() for c in t)}
     assert _texts(docs) == texts and docs.columns == small_docs.columns
 
-    lines = brute.lines(list(texts.items()), _hashes(spark, texts))
+    lines = brute.lines(list(texts.items()), brute.similar_lines(spark, list(texts.items())))
     docs = _stored(stages["line_dedup"](spark, docs, sf))
     texts = {i: t for i, (_, gone, t) in lines.items() if not gone or t.strip()}
     assert _texts(docs) == texts and docs.columns == small_docs.columns
@@ -194,9 +194,3 @@ def _stored(df):
 
 def _texts(df):
     return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
-
-
-def _hashes(spark, texts):
-    from tests.llm.test_dedup import word_hashes
-
-    return word_hashes(spark, list(texts.items()))
