@@ -41,7 +41,7 @@ from gaugeworks.session import ship_package, written
 #: Links, and documents, after which a block is closed; radixes; bytes of compressed runs that one task merges.
 RECORDS, DOCUMENTS, RADIXES, TASK_BYTES = 1 << 21, 1 << 15, 16, 16 << 20
 #: Parts of texts that a worker keeps at hand, and the longest of them.
-KEPT, LONGEST = 1 << 17, 48
+KEPT, LONGEST = 1 << 18, 48
 #: Pairs of a run that are merged at once.
 STEP = 4096
 _SHIFT = 32  # a pair is the B id, moved up by so much, and the A id
@@ -81,68 +81,98 @@ def pieces(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[byte
     return lambda texts: library.encode(texts, num_threads=1), table
 
 
+def spread(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of the items of ragged rows that begin at ``at`` and hold ``size`` items each, one row after another."""
+    ends = np.cumsum(size)
+    return np.repeat(at - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Aligner:
-    """Tokens, groups and links of texts. What is known of a part stands at one place of several arrays."""
+    """Tokens, groups and links of texts. Known parts have a place each: a text of their groups, numbers, and a run of links."""
 
     def __init__(self, a_path: str, b_path: str):
         (self.encode_a, self.bytes_a), (self.encode_b, self.bytes_b) = byte_level(a_path), pieces(b_path)
         self.size_a, self.size_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        # An id with what follows it: a comma, or what ends its side of the group.
+        self.names = [f"{i}{mark}" for table, end in ((self.bytes_a, "|"), (self.bytes_b, ";")) for mark in (",", end) for i in range(len(table))]
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.texts: list[str] = []  # groups as text; None where the bytes differ
-        self.n_a, self.n_b, self.links = [], [], []
-
-    def _align(self, part: str, a: list[int], b: list[int]) -> tuple[str | None, np.ndarray]:
-        """Groups as text and the pairs that are linked, in order."""
-        whole = (" " + part).encode()
-        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
-            return None, np.empty(0, np.int64)
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        _, at_a, at_b = np.intersect1d(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]), assume_unique=True, return_indices=True)
-        groups, i, j = [], 0, 0
-        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:x]))}|{','.join(map(str, b[j:y]))}")
-            i, j = x, y
-        return ";".join(groups), ids_b[at_b] << _SHIFT | ids_a[at_a]
+        self.texts: list[str] = []
+        #: Tokens of A, of B, links, first link, and whether the bytes are those of the part.
+        self.facts = np.empty((0, 5), np.int64)
+        self.links = np.empty(0, np.int64)
+
+    def _same(self, parts: list[bytes], ids: list[list[int]], table: list[bytes], sizes: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """For each part, whether its tokens' bytes are its own."""
+        flat = [i for x in ids for i in x]
+        ends = np.r_[0, np.cumsum(sizes[np.array(flat, np.int64)])][np.cumsum(n)]
+        if b"".join([table[i] for i in flat]) == b"".join(parts) and (np.diff(ends, prepend=0) == [len(x) for x in parts]).all():
+            return np.ones(len(parts), bool)
+        return np.array([b"".join([table[i] for i in x]) == part for part, x in zip(parts, ids, strict=True)], bool)
 
     def _learn(self, parts: list[str]) -> None:
-        coded_a, coded_b = self.encode_a([" " + x for x in parts]), self.encode_b(parts)
-        for part, a, b in zip(parts, coded_a, coded_b, strict=True):
-            text, links = self._align(part, a, b)
-            self.place[part] = len(self.texts)
-            self.texts.append(text)
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.links.append(links)
+        if not parts:
+            return
+        whole = [(" " + x).encode() for x in parts]
+        coded = self.encode_a([" " + x for x in parts]), self.encode_b(parts)
+        n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in coded)
+        good = self._same(whole, coded[0], self.bytes_a, self.size_a, n_a) & self._same(whole, coded[1], self.bytes_b, self.size_b, n_b)
+        some = np.flatnonzero(good).tolist()
+        ids_a, ids_b = (np.array([i for k in some for i in ids[k]], np.int64) for ids in coded)
+        # Offsets in the good parts laid end to end, where both sides cover the same bytes.
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        met = np.minimum(np.searchsorted(ends_b, ends_a), max(0, len(ends_b) - 1))
+        cut_a = np.flatnonzero(ends_b[met] == ends_a) if len(ends_b) else np.empty(0, np.int64)
+        cut_b = met[cut_a]
+        links = ids_b[cut_b] << _SHIFT | ids_a[cut_a]
+        n_a, n_b = n_a * good, n_b * good
+        n_links = np.diff(np.searchsorted(cut_a, np.cumsum(n_a)), prepend=0)
+        # Tokens in the order in which the groups name them: those of A, then those of B, group by group.
+        group_a, group_b = np.searchsorted(cut_a, np.arange(len(ids_a))), np.searchsorted(cut_b, np.arange(len(ids_b)))
+        code = np.empty(len(ids_a) + len(ids_b), np.int64)
+        last_a, last_b = np.zeros(len(ids_a), bool), np.zeros(len(ids_b), bool)
+        last_a[cut_a] = last_b[cut_b] = True
+        code[np.arange(len(ids_a)) + np.r_[0, cut_b + 1][group_a]] = ids_a + last_a * len(self.bytes_a)
+        code[np.arange(len(ids_b)) + np.r_[cut_a + 1, 0][group_b]] = 2 * len(self.bytes_a) + ids_b + last_b * len(self.bytes_b)
+        names = [self.names[i] for i in code.tolist()]
+        edge = [0, *np.cumsum(n_a + n_b).tolist()]
+        self.place.update(zip(parts, range(len(self.texts), len(self.texts) + len(parts)), strict=True))
+        self.texts += ["".join(names[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+        first = len(self.links) + np.cumsum(n_links) - n_links
+        self.facts = np.concatenate([self.facts, np.stack([n_a, n_b, n_links, first, good], 1)])
+        self.links = np.concatenate([self.links, links])
 
     def __call__(self, texts: list[str | None]) -> tuple[list[tuple], list[np.ndarray]]:
         """(n_a, n_b, n_groups, groups_sha256), and the linked pairs, of each text."""
         if len(self.texts) > KEPT:
             self._forget()
         split = [_SPACE.split(x) if x else [] for x in texts]
-        fresh = list(set().union(*split).difference(self.place)) if split else []
+        fresh = list(set().union(*split).difference(self.place))
         self._learn([x for x in fresh if len(x) <= LONGEST])
-        known, long = len(self.texts), [x for x in fresh if len(x) > LONGEST]
+        known, links, long = len(self.texts), len(self.links), [x for x in fresh if len(x) > LONGEST]
         self._learn(long)
-        facts, found = [], []
-        for parts in split:
-            at = [self.place[x] for x in parts]
-            groups = [self.texts[k] for k in at]
-            if not at or None in groups:
-                facts.append((0, 0, 0, ""))
-                found.append(np.empty(0, np.int64))
-                continue
-            links = np.concatenate([self.links[k] for k in at])
-            facts.append((sum([self.n_a[k] for k in at]), sum([self.n_b[k] for k in at]), len(links),
-                          sha256(";".join(groups).encode()).hexdigest()))
-            found.append(links)
+        place = self.place
+        at = [[place[x] for x in parts] for parts in split]
+        edge = np.cumsum([0, *map(len, at)])
+        every = np.array([k for x in at for k in x], np.int64)
+        facts = self.facts[every]
+        sums = np.concatenate([np.zeros((1, 5), np.int64), np.cumsum(facts, axis=0)])[edge]
+        n_a, n_b, n_links, _, good = np.diff(sums, axis=0).T
+        good = (good == np.diff(edge)) & (np.diff(edge) > 0)
+        flat = self.links[spread(facts[:, 3], facts[:, 2])]
+        cut = sums[:, 2].tolist()
+        out, found = [], []
+        for i, (a, b, n, ok) in enumerate(zip(n_a.tolist(), n_b.tolist(), n_links.tolist(), good.tolist(), strict=True)):
+            groups = "".join([self.texts[k] for k in at[i]])[:-1] if ok else ""
+            out.append((a, b, n, sha256(groups.encode()).hexdigest()) if ok else (0, 0, 0, ""))
+            found.append(flat[cut[i] : cut[i + 1] if ok else cut[i]])
         for x in long:  # these do not come again
-            del self.place[x]
-        for column in (self.texts, self.n_a, self.n_b, self.links):
-            del column[known:]
-        return facts, found
+            del place[x]
+        del self.texts[known:]
+        self.facts, self.links = self.facts[:known], self.links[:links]
+        return out, found
 
 
 @lru_cache(maxsize=1)
@@ -192,7 +222,7 @@ def runs_of(links: list[np.ndarray], radixes: int) -> Iterator[tuple[int, bytes,
         chosen = np.flatnonzero(radix_of == radix)
         low, high = np.searchsorted(pair, chosen), np.searchsorted(pair, chosen, side="right")
         count = high - low
-        rows = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        rows = spread(low, count)
         sums = np.add.reduceat(times[rows], np.cumsum(count) - count)
         yield radix, pack(_steps(names[chosen]), sums, count.astype("<u4")), pack(document[rows].astype("<u4"), times[rows].astype("<u4"))
 
