@@ -20,7 +20,7 @@ from gaugeworks.llm import (
     token_files,
     warc,
 )
-from gaugeworks.session import scratch_folder, shared_folder
+from gaugeworks.session import scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from uuid import uuid4
 
-    folder = f"{shared_folder(spark)}/gaugeworks/tokens-{uuid4().hex}"
+    folder = f"{scratch_folder(spark)}/tokens-{uuid4().hex}"
     manifest = token_files.write_shards(table(spark, sf_dir, "documents"), folder, tokenizer("word_bpe_49k.json"),
                                         end_id=1, by_words=True)
     return token_files.read_shards(spark, manifest)

@@ -242,4 +242,6 @@ def read_shards(spark: SparkSession, manifest: DataFrame, id_type: str = "bigint
                             ["id", "start", "n_tokens", "ids_crc32"])
 
     schema = f"id {id_type}, start long, n_tokens long, ids_crc32 long"
-    return manifest.repartition("part").mapInArrow(work, schema).withColumnRenamed("id", id_col)
+    # A task for each shard; without the number, adaptive execution would put these few rows into one task.
+    shards = manifest.repartitionByRange(max(1, manifest.count()), "part")
+    return shards.mapInArrow(work, schema).withColumnRenamed("id", id_col)
