@@ -143,7 +143,8 @@ def stored_weights_top(spark, sf):
 def _filled(spark, sf, **period):
     daily = written(fx.daily(spark, sf), "daily")
     known = weights.station_profiles(fx.stations(spark, sf), climatology.representative_year(daily))
-    return gapfill.interpolate_precip(daily, weights.station_weights(known, known), **period)
+    places = fx.stations(spark, sf).select("station_id", "lat", "lon")
+    return gapfill.interpolate_precip(daily, written(weights.station_weights(known, known), "weights"), places=places, **period)
 
 
 FILLED = ("ec_station_id", "datetime", "total_precip", "og_total_precip", "precip_intp_flag", "n_neighbours")

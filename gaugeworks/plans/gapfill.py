@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.operators import climatology, gapfill, weights
 from gaugeworks.plans.backfill import read_station_table
-from gaugeworks.session import file_system, remove, staged
+from gaugeworks.session import file_system, remove, staged, written
 from gaugeworks.sources import stations, tables
 
 
@@ -105,4 +105,5 @@ def fill(
     else:
         known = _known(spark, out)
         found = weights.station_weights(known, known if targets is None else targets)
-    return gapfill.interpolate_precip(daily, found, targets, start, end)
+    listed = read_station_table(spark, out).select("station_id", F.col("latitude_dd").alias("lat"), F.col("longitude_dd").alias("lon"))
+    return gapfill.interpolate_precip(daily, written(found, "weights"), targets, start, end, listed)

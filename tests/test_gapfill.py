@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import numpy as np
 import pytest
 
 from gaugeworks import fixtures as fx
@@ -107,3 +108,55 @@ def test_same_result_without_any_broadcast(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _random_case(spark, share):
+    """Values, gaps and links of forty stations over three years; ``share`` of the days are gaps. Some stations report a day twice."""
+    rng = np.random.default_rng(6)
+    names = [f"s{i}" for i in range(40)]
+    start = D(1968, 11, 3)  # spans begin before and after the first of January 1970
+    values, gaps = [], []
+    for name in names:
+        for day in range(1100):
+            date = start + dt.timedelta(days=day)
+            if rng.random() < 0.3:
+                values += [(name, date, float(rng.integers(0, 50)))] * int(rng.integers(1, 3))
+            if rng.random() < share or day % 256 == 0:
+                gaps.append((name, date))
+    links = [(a, b, float(rng.choice([0.25, 0.5, -0.5, 1.0])) if rng.random() < 0.9 else None) for a in names[1:] for b in rng.choice(names, 6, replace=False).tolist()]
+    return (spark.createDataFrame([*gaps, ("s1", None)], "active_station string, datetime date"),
+            spark.createDataFrame([*values, ("s2", None, 1.0)], "station_id string, datetime date, value double"),
+            spark.createDataFrame(links, "active_station string, station_id string, comp_weight double"))
+
+
+@pytest.mark.parametrize("placed", [False, True])
+def test_fills_are_weighted_means(spark, monkeypatch, placed):
+    monkeypatch.setattr(gapfill, "TARGETS", 7)
+    gaps, values, links = _random_case(spark, 0.05)
+    places = spark.createDataFrame([(f"s{i}", 49.0 + i % 3, -120.0 - i % 2) for i in range(30)] + [("s30", None, None)], "station_id string, lat double, lon double")
+    by_day, want = {}, {}
+    for r in values.collect():
+        by_day.setdefault((r.station_id, r.datetime), []).append(r.value)
+    near = {}
+    for r in links.where("comp_weight is not null").collect():
+        near.setdefault(r.active_station, []).append((r.station_id, r.comp_weight))
+    for r in gaps.where("datetime is not null").collect():
+        met = [(v, w) for s, w in near.get(r.active_station, []) for v in by_day.get((s, r.datetime), [])]
+        if met:
+            below = sum(w for _, w in met)
+            want[r.active_station, r.datetime] = (round(sum(v * w for v, w in met) / below, 9) if below else None, len(met))
+    found = gapfill.fills(gaps, values, links, places if placed else None).collect()
+    assert {(r.active_station, r.datetime): (r.fill if r.fill is None else round(r.fill, 9), r.n) for r in found} == want and len(found) == len(want) > 1000
+    assert {x[0] is None for x in want.values()} == {True, False}
+
+
+def test_what_is_shuffled_does_not_grow_with_gaps_or_links(spark):
+    counts, most = [], []
+    for share in (0.0, 0.6):
+        gaps, values, links = _random_case(spark, share)
+        asked, offered = gapfill.packed(gaps, values, links)
+        counts.append((asked.count(), offered.count()))
+        most.append((gaps.count(), gaps.join(links, "active_station").count()))
+        plan = gapfill.fills(gaps, values, links)._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.split("\n") if "Join" in x and "datetime" in x]
+    assert counts[0] == counts[1] and most[1][1] > 50 * most[0][1] and sum(counts[1]) < most[1][1] / 100
