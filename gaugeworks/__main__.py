@@ -1,7 +1,7 @@
 """The jobs from the command line, under ``spark-submit`` or plain Python:
 
     python -m gaugeworks backfill --raw RAW --out OUT --stations LIST.csv --maxdate 2023-01
-    python -m gaugeworks update   --raw RAW --out OUT --stations LIST.csv [--days-back 31] [--years]
+    python -m gaugeworks update   --raw RAW --out OUT --stations LIST.csv [--days-back 31] [--years] [--weights]
     python -m gaugeworks truncate --out OUT --maxdate 2023-01 [--kind daily]
     python -m gaugeworks weights  --out OUT [--station 123 ...] [--active-since 2022]
     python -m gaugeworks fill     --out OUT --start 2020-01-01 --end 2020-12-31 --to FILLED [--station 123 ...] [--by ec_station_id | --named]
@@ -42,6 +42,7 @@ def arguments(argv=None) -> argparse.Namespace:
     parser.add_argument("--station", action="append")
     parser.add_argument("--all-weights", action="store_true", help="fill by weights over all stations, not the stored ones")
     parser.add_argument("--named", action="store_true", help="one file per station, named by its days")
+    parser.add_argument("--weights", action="store_true", help="keep the stored weights up with the update, too")
     parser.add_argument("--years", action="store_true", help="keep the representative years up with the update")
     parser.add_argument("--by", default=PARTITION, help="column by which filled records are stored")
     parser.add_argument("--lang", default="en", choices=["en", "fr"])
@@ -72,7 +73,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         backfill.write_station_tables(spark, args.stations, args.out)
         backfill.backfill(spark, args.raw, args.out, args.maxdate)
     elif args.job == "update":
-        for row in update.update(spark, args.raw, args.out, dt.date.today(), args.stations, days_back=args.days_back, years=args.years):
+        for row in update.update(spark, args.raw, args.out, dt.date.today(), args.stations, days_back=args.days_back, years=args.years, weights=args.weights):
             print(row)
     elif args.job == "truncate":
         for row in backfill.truncate(spark, args.out, args.maxdate, args.kind or ("daily", "hourly")):

@@ -335,4 +335,5 @@ SQL: dict[str, str] = {
     "missing_delivered": f"""with {DAILY}, planned as ({_plan("open", "'daily'")})
       select * from planned p where not exists (select 1 from daily where ec_station_id = p.station_id and year(datetime) = p."year")""",
 }
-SQL |= {"insert_bucketed_daily": SQL["insert_daily"], "insert_bucketed_hourly": SQL["insert_hourly"], "rep_year_updated": SQL["rep_year"]}
+SQL |= {"insert_bucketed_daily": SQL["insert_daily"], "insert_bucketed_hourly": SQL["insert_hourly"], "rep_year_updated": SQL["rep_year"],
+        "weights_updated": SQL["pairwise_weights"]}

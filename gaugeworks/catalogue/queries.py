@@ -386,6 +386,26 @@ def rep_year_updated(spark, sf):
     return rounded(spark.read.parquet(f"{out}/{gapfill_jobs.YEAR}"))
 
 
+@query
+def weights_updated(spark, sf):
+    """Stored weights kept up through an insert of the later days of every seventh station."""
+    out = _new_folder(spark, "kept-up")
+    daily = written(fx.daily(spark, sf), "daily", f"{out}/arriving")
+    listed = fx.stations(spark, sf).withColumnsRenamed({"lat": "latitude_dd", "lon": "longitude_dd"})
+    none = spark.createDataFrame([], schemas.STATION_SCHEMA)
+    union_by_name(none, listed).select(none.columns).write.partitionBy("province").parquet(f"{out}/station_metadata")
+    some = F.col("ec_station_id").cast("int") % 7 == 3
+    first = daily.where(~some | (F.col("datetime") < "2000-01-01"))
+    tables.incremental_insert(first, f"{out}/daily", "daily", "2100-01-01")
+    gapfill_jobs.rebuild_representative_years(spark, out)
+    gapfill_jobs.rebuild_pairwise_weights(spark, out)
+    tables.incremental_insert(daily, f"{out}/daily", "daily", "2100-01-01", then=lambda new: gapfill_jobs.add_to_sums(new, out, "later"))
+    changed = spark.read.parquet(f"{out}/{gapfill_jobs.SUMS}/run=later").select(F.col("ec_station_id").alias("station_id")).distinct()
+    gapfill_jobs.refresh_representative_years(spark, out)
+    gapfill_jobs.refresh_pairwise_weights(spark, out, changed)
+    return rounded(spark.read.parquet(f"{out}/{gapfill_jobs.WEIGHTS}").drop("part"))
+
+
 @query
 def stored_extremes(spark, sf):
     """First and last date of a stored table from the files' footers, and its years from its directories."""

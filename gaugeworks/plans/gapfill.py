@@ -78,11 +78,62 @@ def _store_years(spark: SparkSession, out: str) -> None:
     climatology.year_of_sums(sums).write.mode("overwrite").parquet(f"{out}/{YEAR}")
 
 
-def rebuild_pairwise_weights(spark: SparkSession, out: str, targets: DataFrame | None = None) -> None:
+WEIGHTS, WEIGHED = "precip_pairwise_weights", "precip_weighed_stations"
+#: Directories of the stored weights, by a hash of the target; an update rewrites those that hold an affected one.
+WEIGHT_PARTS = 64
+
+
+def _stored_by_part(found: DataFrame, path: str, only_parts: bool = False) -> None:
+    part = F.pmod(F.xxhash64("active_station"), F.lit(WEIGHT_PARTS)).cast("int")
+    rows = found.withColumn("part", part).hint("rebalance", "part")
+    mode = "dynamic" if only_parts else "static"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("part").parquet(path)
+
+
+def rebuild_pairwise_weights(spark: SparkSession, out: str, targets: DataFrame | None = None, nearest: int = weights.NEAREST) -> None:
     """Replace the stored weights of every target (all stations by default) and its nearest stations."""
     known = _known(spark, out)
-    found = weights.pairwise_weights(known, known if targets is None else targets)
-    found.write.mode("overwrite").parquet(f"{out}/precip_pairwise_weights")
+    _stored_by_part(weights.pairwise_weights(known, known if targets is None else targets, nearest), f"{out}/{WEIGHTS}")
+    known.select("station_id", "lat", "lon").write.mode("overwrite").parquet(f"{out}/{WEIGHED}")
+
+
+def affected_targets(stored: DataFrame, changed: DataFrame) -> DataFrame:
+    """Targets (``station_id``) of the stored weights that are among the changed stations or have one among their nearest.
+
+    The weights are their own index from stations back to targets: each row is one entry.
+    """
+    names = changed.select("station_id").distinct()
+    through = stored.join(names, "station_id", "left_semi").select(F.col("active_station").alias("station_id"))
+    own = stored.select(F.col("active_station").alias("station_id")).join(names, "station_id", "left_semi")
+    return through.unionByName(own).distinct()
+
+
+def refresh_pairwise_weights(spark: SparkSession, out: str, changed: DataFrame, nearest: int = weights.NEAREST) -> int | None:
+    """Work out again the stored weights that ``changed`` stations (``station_id``) have a part in; returns the number of targets.
+
+    A representative year decides the correlations of its station as a target and as a neighbour, nothing else. Should stations have come, gone or
+    moved, distances are others, too; then everything is rebuilt and the answer is None. Targets that lack weights stay without.
+    """
+    files, where = file_system(spark, f"{out}/{WEIGHED}/_SUCCESS")
+    known = _known(spark, out)
+    places = known.select("station_id", "lat", "lon")
+    same = files.exists(where)
+    if same:
+        before = spark.read.schema(places.schema).parquet(f"{out}/{WEIGHED}")
+        same = places.exceptAll(before).isEmpty() and before.exceptAll(places).isEmpty()
+    if not same:
+        rebuild_pairwise_weights(spark, out, nearest=nearest)
+        return None
+    stored = spark.read.parquet(f"{out}/{WEIGHTS}")
+    with staged(affected_targets(stored, changed), "affected") as targets:
+        n = targets.count()
+        if n:
+            parts = [r[0] for r in targets.select(F.pmod(F.xxhash64("station_id"), F.lit(WEIGHT_PARTS)).cast("int")).distinct().collect()]  # WEIGHT_PARTS at most
+            others = stored.where(F.col("part").isin(parts)).join(targets.select(F.col("station_id").alias("active_station")), "active_station", "left_anti")
+            again = weights.pairwise_weights(known, targets.join(known.select("station_id"), "station_id"), nearest)
+            with staged(others.drop("part").unionByName(again), "weights") as rows:
+                _stored_by_part(rows, f"{out}/{WEIGHTS}", only_parts=True)
+    return n
 
 
 def active_stations(spark: SparkSession, out: str, year: int) -> DataFrame:
@@ -101,7 +152,7 @@ def fill(
     """
     daily = tables.read_observations(spark, f"{out}/daily", "daily")
     if stored_weights:
-        found = weights.top_positive(spark.read.parquet(f"{out}/precip_pairwise_weights"))
+        found = weights.top_positive(spark.read.parquet(f"{out}/{WEIGHTS}").drop("part"))
     else:
         known = _known(spark, out)
         found = weights.station_weights(known, known if targets is None else targets)

@@ -167,3 +167,36 @@ def test_a_failed_write_leaves_no_file_and_keeps_the_old(spark, tmp_path):
     writer = named_files.NamedCsvWriter(path, ["a"], True)
     with pytest.raises(ValueError, match="one name"):
         writer.commit([named_files.Written([("x", "n", "", "")]), named_files.Written([("y", "n", "", "")])])
+
+
+def test_only_affected_weights_are_worked_out_again(spark, tmp_path, monkeypatch):
+    from gaugeworks import schemas
+    from gaugeworks.operators import weights
+    from gaugeworks.operators.union import union_by_name
+
+    out = str(tmp_path)
+    none = spark.createDataFrame([], schemas.STATION_SCHEMA)
+    # Two far groups of stations on a line: a change in one leaves the other's nearest alone.
+    names = [(f"{g}{i}", "P", 49.0 + 20 * k + i, -100.0) for k, g in enumerate("ab") for i in range(6)]
+    listed = spark.createDataFrame(names, "station_id string, province string, latitude_dd double, longitude_dd double")
+    union_by_name(none, listed).select(none.columns).write.partitionBy("province").parquet(f"{out}/station_metadata")
+    rows = [("C", n[0], "S", D(2000, 1, d), 2000, 1, float((ord(n[0][0]) + d * (3 + int(n[0][1]))) % 11)) for n in names for d in range(1, 20)]
+    upkeep.incremental_insert(spark.createDataFrame([(r[1], *r[1:]) for r in rows], SCHEMA), f"{out}/daily", "daily", D(2001, 1, 1))
+    jobs.rebuild_representative_years(spark, out)
+    jobs.rebuild_pairwise_weights(spark, out, nearest=2)
+    key = lambda: {(r.active_station, r.station_id): tuple(w and round(w, 9) for w in (r.comp_weight, r.corr_weight)) for r in spark.read.parquet(f"{out}/{jobs.WEIGHTS}").collect()}
+    before, asked = key(), []
+    new = days(spark, *(D(1999, 1, d) for d in range(1, 9)), station="a0", climate="a0")
+    upkeep.incremental_insert(new, f"{out}/daily", "daily", D(2001, 1, 1), then=lambda df: jobs.add_to_sums(df, out, "x"))
+    jobs.refresh_representative_years(spark, out)
+    plain = weights.pairwise_weights
+    monkeypatch.setattr(jobs.weights, "pairwise_weights", lambda known, targets, *a: (asked.append({r.station_id for r in targets.collect()}), plain(known, targets, *a))[1])
+    n = jobs.refresh_pairwise_weights(spark, out, spark.createDataFrame([("a0",)], "station_id string"), nearest=2)
+    kept = key()
+    assert asked == [{"a0", "a1", "a2"}] and n == 3 or asked == [{"a0", "a1"}] and n == 2
+    jobs.rebuild_pairwise_weights(spark, out, nearest=2)
+    assert kept == key() and kept != before and len(kept) == 24
+    assert jobs.refresh_pairwise_weights(spark, out, spark.createDataFrame([], "station_id string"), nearest=2) == 0
+    spark.read.parquet(f"{out}/{jobs.WEIGHED}").limit(3).write.mode("overwrite").parquet(f"{out}/other")
+    spark.read.parquet(f"{out}/other").write.mode("overwrite").parquet(f"{out}/{jobs.WEIGHED}")
+    assert jobs.refresh_pairwise_weights(spark, out, spark.createDataFrame([], "station_id string"), nearest=2) is None and key() == kept
