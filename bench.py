@@ -14,6 +14,7 @@ HEADLINE = (
     "rep_year", "completeness", "nearest_stations", "distance_weight", "pairwise_weights", "station_weights_top",
     "interpolate_precip", "range_scan_both", "insert_daily", "insert_hourly", "truncate_daily", "year_bucket_10",
     "keep_newest_3", "plan_files", "missing_files", "strip_speed", "parse_dates", "ingest_daily", "ingest_hourly",
+    "delete_after_daily", "insert_bucketed_daily", "rep_year_updated", "stored_extremes", "named_buckets",
 )
 
 

@@ -332,8 +332,10 @@ SQL: dict[str, str] = {
     "named_buckets": f"""with bucketed(ec_station_id, datetime, bucket) as (with {BUCKETS.format(step=5)}), {DAILY}
       select 'daily_' || cast(ec_station_id as int) % 3 || '_' || bucket || '.csv' file, ec_station_id, datetime, total_precip
       from bucketed join daily using (ec_station_id, datetime)""",
-    "missing_delivered": f"""with {DAILY}, planned as ({_plan("open", "'daily'")})
-      select * from planned p where not exists (select 1 from daily where ec_station_id = p.station_id and year(datetime) = p."year")""",
+    "missing_delivered": f"""with {DAILY}, {HOURLY}, planned as ({_plan("open", "'daily', 'hourly'")})
+      select * from planned p where case kind
+        when 'daily' then not exists (select 1 from daily where ec_station_id = p.station_id and year(datetime) = p."year")
+        else not exists (select 1 from hourly where ec_station_id = p.station_id and year(datetime) = p."year" and month(datetime) = p."month") end""",
 }
 SQL |= {"insert_bucketed_daily": SQL["insert_daily"], "insert_bucketed_hourly": SQL["insert_hourly"], "rep_year_updated": SQL["rep_year"],
         "weights_updated": SQL["pairwise_weights"]}

@@ -439,8 +439,8 @@ def named_buckets(spark, sf):
 
 @query
 def missing_delivered(spark, sf):
-    """Planned daily files that are not among those on disk."""
-    return coverage.missing_files(_planned("daily")(spark, sf), observations.delivered_files(spark, _written_tree(spark, sf)))
+    """Planned daily and hourly files that are not among those on disk."""
+    return coverage.missing_files(_planned("daily", "hourly")(spark, sf), observations.delivered_files(spark, _written_tree(spark, sf)))
 
 
 def _bucketed(step):
