@@ -97,6 +97,11 @@ def rebuild_pairwise_weights(spark: SparkSession, out: str, targets: DataFrame |
     known.select("station_id", "lat", "lon").write.mode("overwrite").parquet(f"{out}/{WEIGHED}")
 
 
+def stored_weights_of(spark: SparkSession, out: str) -> DataFrame:
+    """The stored weights and their directory ``part``; the schema is stated, as a table without weights has no file to tell it."""
+    return spark.read.schema(f"{weights.PAIR}, part int").parquet(f"{out}/{WEIGHTS}")
+
+
 def affected_targets(stored: DataFrame, changed: DataFrame) -> DataFrame:
     """Targets (``station_id``) of the stored weights that are among the changed stations or have one among their nearest.
 
@@ -124,7 +129,7 @@ def refresh_pairwise_weights(spark: SparkSession, out: str, changed: DataFrame,
     if not same:
         rebuild_pairwise_weights(spark, out, nearest=nearest)
         return None
-    stored = spark.read.parquet(f"{out}/{WEIGHTS}")
+    stored = stored_weights_of(spark, out)
     with staged(affected_targets(stored, changed), "affected") as targets:
         n = targets.count()
         if n:
@@ -152,7 +157,7 @@ def fill(
     """
     daily = tables.read_observations(spark, f"{out}/daily", "daily")
     if stored_weights:
-        found = weights.top_positive(spark.read.parquet(f"{out}/{WEIGHTS}").drop("part"))
+        found = weights.top_positive(stored_weights_of(spark, out).drop("part"))
     else:
         known = _known(spark, out)
         found = weights.station_weights(known, known if targets is None else targets)

@@ -141,6 +141,25 @@ def test_jobs_from_files_to_filled_records(spark, tree, tmp_path):
         assert {r.precip_intp_flag for r in filled.collect()} == {"recorded", "interpolated"}
 
 
+def test_update_keeps_years_and_weights_up(spark, tree, tmp_path):
+    out, listing = str(tmp_path / "out"), tmp_path / "list.csv"
+    put(listing, *LISTING)
+    backfill.write_station_tables(spark, str(listing), out)
+    backfill.backfill(spark, tree, out, "1999-12", ["daily"])
+    gapfill.rebuild_representative_years(spark, out)
+    gapfill.rebuild_pairwise_weights(spark, out)
+    read = lambda: (spark.read.parquet(f"{out}/{gapfill.YEAR}"), gapfill.stored_weights_of(spark, out))
+    stored = lambda: [sorted(tuple(round(x, 9) if isinstance(x, float) else str(x) for x in r) for r in df.collect()) for df in read()]
+    before = stored()
+    facts, = update.update(spark, tree, out, dt.date(2000, 2, 1), kinds=("daily",), weights=True)
+    kept = stored()
+    assert facts["inserted_rows"] == 3 and kept[0] != before[0]
+    assert update.update(spark, tree, out, dt.date(2000, 2, 1), kinds=("daily",), years=True)[0]["inserted_rows"] == 0 and stored() == kept
+    gapfill.rebuild_representative_years(spark, out)
+    gapfill.rebuild_pairwise_weights(spark, out)
+    assert stored() == kept
+
+
 def test_stream_inserts_each_file_once(spark, tree, tmp_path):
     out, place = str(tmp_path / "out"), str(tmp_path / "progress")
     tables.create_table(spark, f"{out}/daily", "daily")
