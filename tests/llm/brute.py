@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 import zlib
+import xxhash
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -144,14 +145,36 @@ def normal_line(line: str) -> str:
     return re.sub(r"[ \t\r]+", " ", line).lower().strip(" ")
 
 
-def similar_lines(spark, docs: list[tuple], distance: int = 10) -> dict[str, int]:
-    """Group of each distinct normalised line: all pairs whose edit distance is at most a tenth of the longer one's length."""
+def simhash(words: set[str]) -> int:
+    """Majority of the words' hashes in each of 64 places."""
+    hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    return sum(1 << i for i in range(64) if sum(h >> i & 1 for h in hashes) > len(hashes) // 2)
+
+
+def compared(x: str, y: str) -> bool:
+    """Whether the rule of candidates holds: short lines always; others by their SimHashes, beginnings and ends."""
+    if max(len(x), len(y)) < 40:
+        return True
+    p, q = x.split(" "), y.split(" ")
+    differ = simhash(set(p)) ^ simhash(set(q))
+    equal = sum(differ >> 8 * i & 255 == 0 for i in range(8))
+    k, m = (1 << (max(len(w), 8) // 4).bit_length() - 1 for w in (p, q))
+    ends = p[:k] == q[:m] or p[-k:] == q[-m:]
+    return differ.bit_count() <= 16 and equal >= (1 if ends else 2)
+
+
+def similar_lines(spark, docs: list[tuple], distance: int = 10, candidates: bool = True) -> dict[str, int]:
+    """Group of each distinct normalised line: all pairs whose edit distance is at most a tenth of the longer one's length.
+
+    With ``candidates``, the rule of candidates must hold as well.
+    """
     norms = sorted({normal_line(x) for _, t in docs for x in (t or "").split("\n")} - {""})
     lines = spark.createDataFrame(list(enumerate(norms)), "i int, x string").repartition(8).cache()
     most = f"cast(greatest(length(p.x), length(q.x)) div {distance} as int)"
     near = lines.alias("p").join(lines.alias("q")).where(f"p.i < q.i and abs(length(p.x) - length(q.x)) <= {most}")
     links = near.where(f"levenshtein(p.x, q.x, {most}) >= 0").selectExpr("p.i", "q.i as j").collect()
-    return dict(zip(norms, roots(len(norms), map(tuple, links)), strict=True))
+    links = [(i, j) for i, j in links if not candidates or compared(norms[i], norms[j])]
+    return dict(zip(norms, roots(len(norms), links), strict=True))
 
 
 def lines(docs: list[tuple], group: dict[str, int]) -> dict:

@@ -133,6 +133,15 @@ def test_similar_lines_keep_one(make):
     assert got[1].endswith("end") and got[2] == "top" and got[3] == "" and got[4] == ""
 
 
+def test_lines_against_edit_distance_alone(spark, sf, small):
+    """Nine in ten of the lines that plain edit distance removes go, and no other ones."""
+    every = brute.lines(small, brute.similar_lines(spark, small, candidates=False))
+    ruled = brute.lines(small, brute.similar_lines(spark, small))
+    copies = brute.lines(small, {x: i for i, x in enumerate(sorted({brute.normal_line(y) for _, t in small for y in (t or "").split("\n")} - {""}))})
+    lost = sum(n for _, n, _ in every.values()) - sum(n for _, n, _ in ruled.values())
+    assert 0 <= lost <= 0.1 * (sum(n for _, n, _ in every.values()) - sum(n for _, n, _ in copies.values()))
+
+
 @pytest.mark.parametrize(("n_words", "least"), [(1, 1), (3, 1), (4, 1), (9, 0.97), (20, 0.97), (27, 0.97), (57, 0.97)])
 def test_recall_of_similar_lines(make, n_words, least):
     """Pairs of lines with as many edits as a tenth allows: in one word, and (for short lines) anywhere."""
