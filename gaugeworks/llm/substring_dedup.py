@@ -10,7 +10,9 @@ the square of the input. So texts are routed to the shards that can matter to th
    each document's distinct anchors (about one for every twenty words). Exact copies of a document are settled here:
    every window of theirs starts in the first copy.
 2. An anchor that two documents hold sends its windows to the shard of the first document that holds it, or to one of its
-   own if more than ``JOINT`` do. Runs of consecutive windows with the same shard travel as one segment.
+   own if more than ``JOINT`` do. A first document whose anchors are held more than ``WORK`` times in all has several shards,
+   dealt by anchor, so that no automaton grows with the length of a text. Runs of consecutive windows with the same shard
+   travel as one segment.
 3. A shard goes through its documents by ascending id. It streams each segment through its automaton for matching
    statistics, the length of the longest match that ends at each word; lengths of ``n`` or more are repeated windows. Then
    it adds the windows that it did not hold. So an automaton holds each distinct window about once.
@@ -28,7 +30,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.batches import U, Words, runs_of, slices, text_bytes, words_of
@@ -39,6 +41,8 @@ K = 10
 #: Documents up to which an anchor shares the shard of its first document, and from which on its windows are compared by
 #: hash. In between it has a shard of its own, of at most ``HOT`` segments of fewer than twice the window's words.
 JOINT, HOT = 200, 3000
+#: Anchors times documents that a shard of a first document is meant to hold; each brings fewer than twice the window's words.
+WORK = 2000
 #: Repeated windows of one hot anchor that a run is compared with at once.
 CHUNK = 256
 
@@ -231,11 +235,13 @@ def _shard(n: int):
 
     def work(segments: pa.Table) -> pa.Table:
         automaton, out = SuffixAutomaton(), []
-        rows = sorted(zip(*(segments[c].to_pylist() for c in ("id", "digest", "start", "words")), strict=True))
+        # Texts stay in Arrow until their turn comes.
+        rows = sorted(zip(*(segments[c].to_pylist() for c in ("id", "digest", "start")), range(len(segments)), strict=True))
+        texts = segments["words"]
         for _, own in groupby(rows, itemgetter(0)):
             fresh = []
-            for id_, digest, start, data in own:
-                words = data.split()
+            for id_, digest, start, i in own:
+                words = texts[i].as_py().split()
                 hits = automaton.matches(words, n)
                 out += [(id_, digest, start + a, start + b) for a, b in spans(hits, n)]
                 missing = np.ones(len(words) - n + 1, bool)
@@ -290,7 +296,9 @@ def deduplicate(docs: DataFrame, n: int = 50, id_col: str = "doc_id", text_col:
 
     anchors = base.where(~is_copy & F.col("id").isNotNull()).select("id", "digest", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("id").alias("first_of"), F.max("id").alias("last"), F.count("*").alias("n"))
-    own, joint = F.xxhash64(F.lit("anchor"), "anchor"), F.xxhash64(F.lit("document"), "first_of")
+    load = F.sum(F.when(F.col("n") <= JOINT, F.col("n"))).over(Window.partitionBy("first_of"))
+    part = F.pmod("anchor", F.ceil(F.coalesce(load, F.lit(1)) / WORK))
+    own, joint = F.xxhash64(F.lit("anchor"), "anchor"), F.xxhash64(F.lit("document"), "first_of", part)
     shard = F.when(F.col("n") <= HOT, F.when(F.col("n") <= JOINT, joint).otherwise(own))
     shared = shared.where("first_of < last").select("anchor", shard.alias("shard"))
     routes = anchors.join(shared, "anchor").groupBy("id", "digest").agg(F.collect_list(F.struct("anchor", "shard")).alias("shared"))
