@@ -165,5 +165,27 @@ select page_id, cast(size as bigint) payload_bytes, sha1(payload) payload_digest
   case when size >= 1000 and page_id <> largest then largest end refers_to
 from f"""
 
+DECONTAMINATION_SQL = """with d as (
+  select doc_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w from benchmark),
+sized as (select item_id, w, least(10, len(w)) size from b where len(w) > 0),
+item_windows as (
+  select distinct item_id, size, array_to_string(w[p + 1 : p + size], ' ') win
+  from (select *, unnest(range(0, len(w) - size + 1)) p from sized)),
+doc_windows as (
+  select doc_id, p, size, array_to_string(w[p + 1 : p + size], ' ') win
+  from (select doc_id, w, size, unnest(range(0, len(w) - size + 1)) p from d, (select distinct size from item_windows) where len(w) >= size)),
+met as (select doc_id, p, size, item_id from doc_windows join item_windows using (size, win)),
+words as (select doc_id, count(distinct spot) n from (select doc_id, unnest(range(p, p + size)) spot from met) group by 1),
+items as (
+  select doc_id, count(*) n, string_agg(item_id, ',' order by item_id) ids
+  from (select distinct doc_id, cast(item_id as varchar) item_id from met) group by 1)
+select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(words.n, 0) as bigint) n_hit, cast(coalesce(items.n, 0) as bigint) n_items,
+  sha256(coalesce(ids, '')) items_sha256, coalesce(words.n, 0) > 0 contaminated
+from d left join words using (doc_id) left join items using (doc_id)"""
+
 #: Twins of the operators that SQL can state; tests hold the others against brute force.
-SQL: dict[str, str] = {"op11_importance_resampling": IMPORTANCE_SQL, "op12_warc": WARC_SQL}
+SQL: dict[str, str] = {"op4_decontaminate": DECONTAMINATION_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op12_warc": WARC_SQL}
