@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gaugeworks.llm import decontaminate, language_id, lm
-from gaugeworks.llm.catalogue import QUERIES, fold
+from gaugeworks.llm.catalogue import QUERIES, SQL, fold
 from tests.llm import brute
+from tools.check import connect, rows
 
 ITEMS = [(1, "Which of these seven rivers carries the most water to the sea in a dry year?"), (2, "yes"), (3, ""), (4, None), (None, "one two three"),
          (5, "one two"), (6, " ".join(f"w{i}" for i in range(20, 45))), (7, "-- !!"), (8, "Überall liegt SCHNEE"), (2, "yes")]
@@ -194,3 +195,9 @@ def _stored(df):
 
 def _texts(df):
     return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_contamination_twin(spark, sf):
+    df = QUERIES["op4_decontaminate"](spark, sf)
+    cursor = connect(sf).execute(SQL["op4_decontaminate"])
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows([c[0] for c in cursor.description], cursor.fetchall())
