@@ -187,5 +187,54 @@ select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(words.n, 0) as bi
   sha256(coalesce(ids, '')) items_sha256, coalesce(words.n, 0) > 0 contaminated
 from d left join words using (doc_id) left join items using (doc_id)"""
 
+_LOWERED = "translate(coalesce(\"text\", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# Components of the pairs (a, b) of a table called links.
+_GROUPS = """both_ways as (select a, b from links union all select b, a from links),
+reach as (select a, a b from both_ways union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
+groups as (select a, min(b) component from reach group by 1)"""
+
+NEAR_DUPLICATES_SQL = f"""with recursive d as (
+  select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') w from documents),
+s as (
+  select distinct doc_id, array_to_string(w[p + 1 : p + 4], ' ') shingle
+  from (select doc_id, w, unnest(range(0, greatest(len(w) - 3, 1))) p from d where len(w) > 0)),
+sizes as (select doc_id, count(*) n from s group by 1),
+met as (
+  select x.doc_id a, y.doc_id b, count(*) n from s x join s y on x.shingle = y.shingle and x.doc_id < y.doc_id group by 1, 2),
+links as (
+  select a, b from met join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * met.n >= 80 * (x.n + y.n - met.n)),
+{_GROUPS}
+select d.doc_id, coalesce(n, 0) n_shingles, coalesce(component, d.doc_id) component_id, coalesce(component, d.doc_id) = d.doc_id kept
+from d left join sizes using (doc_id) left join groups on a = d.doc_id"""
+
+SUBSTRINGS_SQL = """with d as (select doc_id, regexp_extract_all(coalesce("text", ''), '[^\\x20\\x09-\\x0D]+') w from documents),
+windows as (
+  select doc_id, p, sha256(array_to_string(w[p + 1 : p + 50], ' ')) win
+  from (select doc_id, w, unnest(range(0, len(w) - 49)) p from d where len(w) >= 50)),
+firsts as (select win, min(doc_id) least from windows group by 1),
+gone as (
+  select distinct doc_id, unnest(range(p, p + 50)) spot from windows join firsts using (win) where least < doc_id),
+words as (select doc_id, unnest(w) word, unnest(range(0, len(w))) spot from d),
+kept as (
+  select doc_id, count(*) n, string_agg(word, ' ' order by spot) words
+  from words anti join gone using (doc_id, spot) group by 1)
+select d.doc_id, len(w) n_words, len(w) - coalesce(n, 0) n_removed, sha256(coalesce(words, '')) kept_sha256
+from d left join kept using (doc_id)"""
+
+VECTORS_SQL = f"""with recursive v as (select vec_id, label, cast(embedding as double[]) e from embeddings),
+used as materialized (
+  select vec_id, label, e from v
+  where label is not null and len(e) > 0 and list_count(e) = len(e) and len(list_filter(e, lambda x: not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (
+  select x.vec_id a, y.vec_id b from used x join used y on x.label = y.label and x.vec_id < y.vec_id and len(x.e) = len(y.e)
+  where list_cosine_similarity(x.e, y.e) >= 0.98),
+{_GROUPS},
+counts as (select a, count(*) n from both_ways group by 1)
+select vec_id, coalesce(n, 0) n_links, coalesce(component, vec_id) component_id, coalesce(component, vec_id) = vec_id kept
+from v left join groups on groups.a = vec_id left join counts on counts.a = vec_id"""
+
 #: Twins of the operators that SQL can state; tests hold the others against brute force.
-SQL: dict[str, str] = {"op4_decontaminate": DECONTAMINATION_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op12_warc": WARC_SQL}
+SQL: dict[str, str] = {
+    "op1_minhash_dedup": NEAR_DUPLICATES_SQL, "op3_substring_dedup": SUBSTRINGS_SQL, "op4_decontaminate": DECONTAMINATION_SQL,
+    "op5_embedding_dedup": VECTORS_SQL, "op11_importance_resampling": IMPORTANCE_SQL, "op12_warc": WARC_SQL}

@@ -194,3 +194,59 @@ def lines(docs: list[tuple], group: dict[str, int]) -> dict:
 
 def fold(doc_id, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
+
+
+def trigram_buckets(word: str, bits: int = 17) -> list[int]:
+    """Hashed trigrams of a word between two spaces (SplitMix64's finaliser over three code points)."""
+    out, full = [], (1 << 64) - 1
+    for a, b, c in zip(" " + word, word, word[1:] + " "):
+        x = (ord(a) | ord(b) << 21 | ord(c) << 42) & full
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & full
+        out.append((x ^ (x >> 31)) >> (64 - bits))
+    return out
+
+
+def trigram_model(rows, langs, bits: int = 17):
+    """Log probability of a bucket in each language, as a function."""
+    import regex
+
+    counts = {lang: Counter() for lang in langs}
+    for text, lang in rows:
+        for word, n in Counter(regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower())).items():
+            for bucket in trigram_buckets(word, bits):
+                counts[lang][bucket] += n
+    total = {lang: sum(c.values()) + 0.5 * (1 << bits) for lang, c in counts.items() if lang in counts}
+    return lambda bucket, lang: math.log((counts[lang][bucket] + 0.5) / total[lang])
+
+
+def _ratios(seen, table, langs):
+    """Each word's likelihood by language over that of its best, e**-12 at least; and the words' counts."""
+    import numpy as np
+
+    logs = np.array([[sum(table(b, lang) for b in trigram_buckets(w)) for lang in langs] for w in seen])
+    return np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -12.0)), np.array(list(seen.values()), float)
+
+
+def _penalised(q, c, p, n: int) -> float:
+    import numpy as np
+
+    return float((c * np.log(q @ p)).sum()) - 0.5 * math.log(c.sum() + 1) * (n - 1)
+
+
+def language_sets(seen, table, langs):
+    """Every set of languages, fitted by EM: (penalised likelihood, shares by language) by set."""
+    import numpy as np
+    from itertools import combinations
+
+    q, c = _ratios(seen, table, langs)
+    out = {}
+    for n in range(1, len(langs) + 1):
+        for some in combinations(range(len(langs)), n):
+            p = np.zeros(len(langs))
+            p[list(some)] = 1 / n
+            for _ in range(1 if n == 1 else 300):
+                r = p * q
+                p = (r / r.sum(axis=1, keepdims=True) * c[:, None]).sum(axis=0) / c.sum()
+            out[frozenset(langs[i] for i in some)] = _penalised(q, c, p, n), {langs[i]: float(p[i]) for i in some}
+    return out

@@ -1,6 +1,8 @@
 """Language ID, the language model, decontamination and the pipeline."""
 
 import math
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -105,6 +107,29 @@ def test_language_id_on_held_out(spark, sf):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
 
 
+def test_language_id_query_against_all_subsets(spark, sf):
+    """Of all sets of languages, each fitted by plain EM, the query takes the one with the best penalised likelihood."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = [r for r in docs if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    langs = sorted({r.lang for r in learned if language_id.words(r.text)})
+    table = brute.trigram_model([(r.text, r.lang) for r in learned], langs)
+    found = {r.doc_id: r for r in QUERIES["op2_language_id"](spark, sf).collect()}
+    assert found.keys() == {r.doc_id for r in docs}
+    for r in docs:
+        got = found[r.doc_id]
+        assert got.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        seen = Counter(language_id.words(r.text or ""))
+        if not seen:
+            assert (got.lang_pred, got.score, got.languages) == ("und", 0.0, [])
+            continue
+        sets = brute.language_sets(seen, table, langs)
+        fit, shares = sets[frozenset(x.lang for x in got.languages)]
+        assert fit >= max(f for f, _ in sets.values()) - 0.01, (r.doc_id, got.languages)
+        # The query's EM ends at its tolerance.
+        assert all(abs(x.share - shares[x.lang]) < 0.01 for x in got.languages), (r.doc_id, got.languages, shares)
+        assert got.lang_pred == got.languages[0].lang and got.score == got.languages[0].share
+
+
 def test_language_mixtures_match_plain_em():
     rng = np.random.default_rng(6)
     ptr = np.array([0, 40, 90, 91, 150])
@@ -197,7 +222,8 @@ def _texts(df):
     return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
 
 
-def test_contamination_twin(spark, sf):
-    df = QUERIES["op4_decontaminate"](spark, sf)
-    cursor = connect(sf).execute(SQL["op4_decontaminate"])
+@pytest.mark.parametrize("name", ["op1_minhash_dedup", "op3_substring_dedup", "op4_decontaminate", "op5_embedding_dedup"])
+def test_twins(spark, sf, name):
+    df = QUERIES[name](spark, sf)
+    cursor = connect(sf).execute(SQL[name])
     assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows([c[0] for c in cursor.description], cursor.fetchall())
