@@ -238,8 +238,8 @@ SQL: dict[str, str] = {
           strftime(datetime, '%H:%M') as "time", {r6('temp')} from hourly
         where datetime < timestamp '2024-01-25' and (cast(ec_station_id as int) % 10 = 0 or (ec_station_id, datetime) not in (
           select cast(user_id as varchar), date_trunc('hour', ts) from events where event_type = 'click'))""",
-    "insert_stream": f"""with {NEW_DAILY}
-        select 'C' || ec_station_id climate_id, ec_station_id, datetime, total_precip from batch""",
+    **dict.fromkeys(("insert_stream", "insert_keyed_stream"), f"""with {NEW_DAILY}
+        select 'C' || ec_station_id climate_id, ec_station_id, datetime, total_precip from batch"""),
     "update_log": f"""with {ADDED_DAILY}, runs(run) as (values (1), (2))
         select 'daily' as "table", run, 2 * count(*) batch_rows, case when run = 1 then (select count(*) from added) else 0 end inserted_rows,
           cast(min(datetime) as varchar) min_dt, cast(max(datetime) as varchar) max_dt from batch, runs group by run""",

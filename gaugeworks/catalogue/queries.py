@@ -25,7 +25,7 @@ from gaugeworks.session import scratch_folder, written
 from gaugeworks.sources import catalog, named_files, observations, stations
 from gaugeworks.sources import tables as tables_io
 from gaugeworks.sources.tables import range_scan
-from gaugeworks.streaming import updates
+from gaugeworks.streaming import keyed, updates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -262,6 +262,21 @@ def insert_stream(spark, sf):
     return tables_io.read_observations(spark, f"{folder}/daily", "daily").select("climate_id", *OBSERVED)
 
 
+@query
+def insert_keyed_stream(spark, sf):
+    """As ``insert_stream``, with keys held in the state; half of the rows are stored before the stream begins, and it stops once on its way."""
+    folder = _new_folder(spark, "keyed-stream")
+    rows = written(fx.daily(spark, sf), "arriving", f"{folder}/arriving")
+    before = rows.where(F.pmod(F.hash("ec_station_id", "datetime"), F.lit(2)) == 0)
+    tables.incremental_insert(before, f"{folder}/daily", "daily", "2001-06-01")
+    for part in ("first", "more"):
+        if part == "more":
+            written(rows, "again", f"{folder}/arriving/again")  # all files once more
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).option("recursiveFileLookup", True).parquet(f"{folder}/arriving")
+        keyed.insert_keyed_stream(stream, folder, "daily", f"{folder}/checkpoint", "2001-06-01", once=True).awaitTermination()
+    return tables_io.read_observations(spark, f"{folder}/daily", "daily").select("climate_id", *OBSERVED)
+
+
 @query
 def update_log(spark, sf):
     """Both log rows of the daily inserts: the second run adds nothing."""

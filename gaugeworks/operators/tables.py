@@ -32,15 +32,20 @@ def rows_to_insert(
     ``dedupe=False`` keeps all. Only keys are compared with the stored side, each of its keys once.
     """
     if dedupe:
-        whose = [F.when(F.col(keys[0]).isNull(), F.col(station))] if station in batch.columns else []
-        rest = [F.col(c) for c in batch.columns if c not in keys]
-        one = Window.partitionBy(*keys, *whose).orderBy(*rest)
-        batch = batch.withColumn("_one", F.row_number().over(one)).where(F.col("_one") == 1).drop("_one")
+        batch = one_per_key(batch, keys, station)
     have = stored.select(*(F.col(k).alias(f"_have_{k}") for k in keys)).distinct()
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys))
     return batch.join(have, same, "left_anti")
 
 
+def one_per_key(batch: DataFrame, keys: tuple[str, ...] = KEY, station: str = "ec_station_id") -> DataFrame:
+    """The row of each key that :func:`rows_to_insert` chooses."""
+    whose = [F.when(F.col(keys[0]).isNull(), F.col(station))] if station in batch.columns else []
+    rest = [F.col(c) for c in batch.columns if c not in keys]
+    one = Window.partitionBy(*keys, *whose).orderBy(*rest)
+    return batch.withColumn("_one", F.row_number().over(one)).where(F.col("_one") == 1).drop("_one")
+
+
 def in_batch_range(stored: DataFrame, batch: DataFrame, column: str = "datetime") -> DataFrame:
     """Stored rows between the earliest and latest date of the batch.
 
@@ -68,20 +73,30 @@ def incremental_insert(
         tables.create_table(batch.sparkSession, path, kind)
     current = before(batch, as_of)
     if not stage:
-        return _insert(current, path, kind, dedupe, then)
+        return insert_rows(current, path, kind, dedupe, then)
     with staged(current, f"batch-{kind}") as stored_batch:
-        return _insert(stored_batch, path, kind, dedupe, then)
+        return insert_rows(stored_batch, path, kind, dedupe, then)
+
 
+def insert_rows(
+    batch: DataFrame, path: str, kind: str, dedupe: bool = True, then: Callable[[DataFrame], None] | None = None, compare: bool = True,
+) -> dict[str, object]:
+    """Append a stored batch to the table at ``path``, which exists; see :func:`incremental_insert`.
 
-def _insert(batch: DataFrame, path: str, kind: str, dedupe: bool, then: Callable[[DataFrame], None] | None) -> dict[str, object]:
+    ``compare=False`` is for rows that are known not to be stored: only equal keys of the batch are told apart.
+    """
     n, lo, hi, years = batch.agg(  # the years are a handful of numbers
         F.count(F.lit(1)), F.min("datetime"), F.max("datetime"), F.collect_set(F.year("datetime"))).first()
     facts = {"table": kind, "batch_rows": n, "inserted_rows": 0, "min_dt": None, "max_dt": None}
     if n:
-        stored = tables.read_observations(batch.sparkSession, path, kind)
-        if lo is not None:
-            stored = tables.range_scan(stored, "datetime", lo, hi).where(F.col(tables.PARTITION).isin(years))
-        added, new = Observation(), rows_to_insert(batch, stored, dedupe=dedupe)
+        if compare:
+            stored = tables.read_observations(batch.sparkSession, path, kind)
+            if lo is not None:
+                stored = tables.range_scan(stored, "datetime", lo, hi).where(F.col(tables.PARTITION).isin(years))
+            new = rows_to_insert(batch, stored, dedupe=dedupe)
+        else:
+            new = one_per_key(batch) if dedupe else batch
+        added = Observation()
         if then is None:
             tables.write_observations(new, path, watch=added)
         else:
