@@ -152,7 +152,7 @@ def simhash(words: set[str]) -> int:
 
 
 def compared(x: str, y: str) -> bool:
-    """Whether the rule of candidates holds: short lines always; others by their SimHashes, beginnings and ends."""
+    """Whether the rule of candidates holds: short lines always; others by their SimHashes, beginnings, ends and words but one."""
     if max(len(x), len(y)) < 40:
         return True
     p, q = x.split(" "), y.split(" ")
@@ -160,7 +160,12 @@ def compared(x: str, y: str) -> bool:
     equal = sum(differ >> 8 * i & 255 == 0 for i in range(8))
     k, m = (1 << (max(len(w), 8) // 4).bit_length() - 1 for w in (p, q))
     ends = p[:k] == q[:m] or p[-k:] == q[-m:]
-    return differ.bit_count() <= 16 and equal >= (1 if ends else 2)
+    without = max(len(x), len(y)) < 112 and bool(set(all_but_one(p)) & set(all_but_one(q)))
+    return differ.bit_count() <= 16 and equal >= (0 if without else 1 if ends else 2)
+
+
+def all_but_one(words: list[str]) -> list[tuple]:
+    return [tuple(words), *(tuple(words[:i] + words[i + 1 :]) for i in range(len(words)))]
 
 
 def similar_lines(spark, docs: list[tuple], distance: int = 10, candidates: bool = True) -> dict[str, int]:
