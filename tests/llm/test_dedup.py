@@ -34,6 +34,18 @@ def test_near_duplicates_of_a_large_group(make):
     assert by_id(near_dups.near_duplicates(make(rows), 4, 80)) == brute.near_duplicates(rows, 4, 80)
 
 
+def test_recall_of_near_duplicates_at_the_threshold(make):
+    """Texts of distinct words whose last m differ: exactly four fifths of 9 to 297 shingles are shared."""
+    rows, pairs = [], 0
+    for n, m in ((12, 1), (30, 3), (93, 10), (300, 33)):
+        for _ in range(100):
+            words = [f"p{pairs}w{i}" for i in range(n)]
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(words[:-m] + [w + "x" for w in words[-m:]]))]
+            pairs += 1
+    gone = {r.doc_id: r.component_id for r in near_dups.near_duplicates(make(rows), words=4, percent=80).where("not kept").collect()}
+    assert all(i == c + 1 and i % 2 for i, c in gone.items()) and len(gone) >= 0.99 * pairs
+
+
 def test_near_duplicates_beyond_the_first_of_a_band(make, monkeypatch):
     """Copies of one text with few or many changes; which ones link does not follow from the least id."""
     rng = np.random.default_rng(11)
@@ -213,6 +225,18 @@ def test_vectors_with_repeated_and_null_ids(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 0, None, True), (2, 2, 1, False), (2, 0, 2, True)], key=repr)
 
 
+@pytest.mark.parametrize("size", [64, 300, 768])
+def test_recall_of_vectors_at_the_threshold(spark, size):
+    rng, pairs, cosine = np.random.default_rng(size), 400, 0.9801
+    a, b = rng.normal(size=(2, pairs, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    near = cosine * a + (1 - cosine**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+    rows = [(2 * i + k, v[i].tolist(), 1) for i in range(pairs) for k, v in enumerate((a, near))]
+    found = embedding_dups.near_duplicates(vector_table(spark, rows)).where("n_links > 0").collect()
+    assert all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in found) and len(found) >= 0.99 * 2 * pairs
+
+
 def test_vectors_query(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert by_id(QUERIES["op5_embedding_dedup"](spark, sf), "vec_id") == brute.vectors(rows, 0.98)
