@@ -7,7 +7,8 @@ weighted ``log10(D * k / c)``, to the root, whose arcs are the unigrams. D is n1
 counts of all pairs. A text starts in the state of its beginning, its last token is its end, and one traversal from left
 to right adds up the weights.
 
-The automaton grows with the corpus, so no machine holds it. Documents are worked on in blocks of ``BLOCK`` rows. Each
+The automaton grows with the corpus, so no machine holds it. Documents are worked on in blocks of ``BLOCK`` rows, or fewer
+where their texts pass ``BLOCK_BYTES``; the shards grow in number with the rows. Each
 block sends the states and arcs that its texts can meet, with its own training counts, as sorted arrays to shards of the
 automaton (by ranges of the state's hash); a shard adds them up and answers each block in the order it asked; the block
 then walks its texts over its part of the automaton. Words are 64-bit hashes; arcs of a state are told apart by 48 bits.
@@ -26,11 +27,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.batches import U, blob, words_of
+from gaugeworks.llm.batches import U, blob, slices, words_of
 from gaugeworks.session import ship_package, written
 
-#: Rows of one block.
-BLOCK = 2048
+#: Rows of one block, and bytes of text after which its part of the automaton is closed.
+BLOCK, BLOCK_BYTES = 2048, 32 << 20
+#: Rows for which the automaton has one shard more.
+SHARD_ROWS = 1 << 14
 BEGIN, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 _LOW = U((1 << 48) - 1)
 
@@ -135,20 +138,22 @@ def _ask(shards: int):
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, of = [], None
-        for batch in batches:
+        held, of, size = [], None, 0
+        for batch in slices(batches, most=BLOCK_BYTES):
             if not batch.num_rows:
                 continue
             file, number = batch.column("file"), batch.column("block").to_numpy()
             other = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
             edge = np.flatnonzero((np.diff(number) != 0) | other) + 1
             for a, b in zip([0, *edge], [*edge, batch.num_rows], strict=True):
-                now = file[int(a)].as_py(), int(number[a])
-                if held and of != now:
+                now, some = (file[int(a)].as_py(), int(number[a])), batch.slice(int(a), int(b - a))
+                length = pc.sum(pc.binary_length(some.column("text"))).as_py() or 0
+                if held and (of != now or size + length > BLOCK_BYTES):
                     yield from block(pa.Table.from_batches(held))
-                    held = []
+                    held, size = [], 0
                 of = now
-                held.append(batch.slice(int(a), int(b - a)))
+                held.append(some)
+                size += length
         if held:
             yield from block(pa.Table.from_batches(held))
 
@@ -237,7 +242,7 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     ship_package(spark)
     placed = _placed(docs, id_col, text_col, training)
-    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), placed.count() // SHARD_ROWS)
     asked = placed.mapInArrow(_ask(shards), _REQUEST)
     answers = written(asked.groupBy("shard").applyInArrow(_answer, _REPLY), "automaton")
     sums = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "known", "docs", "n1", "n2"))).first()

@@ -45,9 +45,11 @@ def test_native_operators_run_no_python(spark, hand_docs):
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-@pytest.mark.parametrize("plain_scan", [True, False])
-def test_language_model(spark, sf, small, small_docs, hand_docs, hand_rows, plain_scan, monkeypatch):
+@pytest.mark.parametrize(("plain_scan", "most"), [(True, 1 << 20), (True, 5000), (False, 1 << 20), (False, 300)])
+def test_language_model(spark, sf, small, small_docs, hand_docs, hand_rows, plain_scan, most, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK", 16)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", most)
+    monkeypatch.setattr(lm, "SHARD_ROWS", 10)
     docs, rows = (small_docs, small) if plain_scan else (hand_docs, hand_rows)
     found = lm.score(docs, fold(F.col("doc_id"), 5) != 1).collect()
     rows = sorted(rows)
@@ -72,6 +74,15 @@ def test_language_model_odd_rows(make, empty_docs):
     assert all(r.score == 0 and r.base_score == 0 and r.n_known == 0 for r in untrained)
 
 
+def test_blocks_are_closed_by_bytes(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 10)
+    texts = ["aaaa", "bbbb", "cccc", None, "d" * 30, "e", "f", "gggg", "h"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts), "train": [True] * 9, "file": ["x"] * 9, "block": [0] * 7 + [1] * 2, "row": list(range(9))})
+    asked = pa.Table.from_batches(lm._ask(1)(iter([batch.slice(0, 2), batch.slice(2)])))
+    assert list(zip(asked["first"].to_pylist(), asked["last"].to_pylist())) == [(0, 1), (2, 3), (4, 4), (5, 6), (7, 8)]
+
+
 def test_arcs_of_each_state_sum_to_one(spark, make):
     """The discounted arcs and the failure arc of a state leave no weight over."""
     texts = ["a b a c a b", "b a c"]
