@@ -69,14 +69,15 @@ def new_rows(batch: DataFrame, stored: DataFrame, keys: tuple[str, ...] = KEY, d
     """Like :func:`gaugeworks.operators.tables.rows_to_insert`, with ``stored`` in buckets by the keys.
 
     Rows whose keys are all there are compared by plain equality, which buckets serve; the few that lack a part of the key are
-    compared apart. Rows are thinned to one per key after the comparison, when they already lie together by key.
+    compared apart. Rows are thinned to one per key after the comparison, when they already lie together by key. Keys meet by a
+    merge, as in :func:`gaugeworks.operators.tables.rows_to_insert`.
     """
     full = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
     kept = stored.select(*keys)
-    whole = batch.where(full).join(kept.where(full), list(keys), "left_anti")
+    whole = batch.where(full).join(kept.where(full).hint("merge"), list(keys), "left_anti")
     have = kept.where(~full).select(*(F.col(k).alias(f"_have_{k}") for k in keys)).distinct()
     same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_have_{k}")) for k in keys))
-    loose = batch.where(~full).join(have, same, "left_anti")
+    loose = batch.where(~full).join(have.hint("merge"), same, "left_anti")
     if not dedupe:
         return whole.unionByName(loose)
 

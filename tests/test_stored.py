@@ -91,6 +91,22 @@ def test_insert_by_bucket_shuffles_no_stored_row(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_stored_keys_are_never_broadcast(spark, tmp_path):
+    """However small the stored files look: their keys are as many as their rows."""
+    path, name = str(tmp_path / "bucketed"), "unsent_for_test"
+    tables.write_observations(days(spark, D(2000, 1, 1)), str(tmp_path / "daily"))
+    stored = tables.read_observations(spark, str(tmp_path / "daily"), "daily")
+    days(spark, D(2000, 1, 1), D(2000, 1, 2)).write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.schema(SCHEMA).parquet(str(tmp_path / "batch"))
+    catalog.register(spark, name, path, "daily", 2)
+    catalog.add_rows(days(spark, D(2000, 1, 1)), name)
+    pruned = spark.table(name).where(f"{tables.PARTITION} = 2000")
+    for new in (upkeep.rows_to_insert(batch, stored), catalog.new_rows(batch, pruned)):
+        assert [r.datetime for r in new.collect()] == [D(2000, 1, 2)]
+        assert "Broadcast" not in plan_of(new) and "SortMergeJoin" in plan_of(new)
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_extremes_come_from_footers(spark, tmp_path):
     path = str(tmp_path / "daily")
     tables.write_observations(days(spark, D(1999, 5, 1), D(2002, 3, 1), None), path)
