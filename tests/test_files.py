@@ -1,6 +1,7 @@
 """Raw files on disk: readers, jobs and the stream."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,3 +242,14 @@ def test_csv_fields(spark, line, fields):
     from gaugeworks.functions import text
 
     assert spark.createDataFrame([(line,)], "line string").select(text.csv_fields(F.col("line"))).first()[0] == fields
+
+
+def test_a_tree_that_is_read_for_one_kind_has_files_of_that_kind(spark, sf, tmp_path, monkeypatch):
+    from gaugeworks.catalogue import queries
+
+    monkeypatch.setattr(queries, "scratch_folder", lambda _: str(tmp_path / "scratch"))
+    for kind in ("daily", "hourly"):
+        queries.QUERIES[f"ingest_tree_{kind}"](spark, sf)
+        made = {p.parent.name for p in (tmp_path / "scratch").rglob("*.csv")}
+        assert made == {kind}
+        shutil.rmtree(tmp_path / "scratch")
