@@ -253,3 +253,19 @@ def test_a_tree_that_is_read_for_one_kind_has_files_of_that_kind(spark, sf, tmp_
         made = {p.parent.name for p in (tmp_path / "scratch").rglob("*.csv")}
         assert made == {kind}
         shutil.rmtree(tmp_path / "scratch")
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    root = tmp_path / "many"
+    for station in range(100):
+        for year in range(2000, 2006):
+            put(root / str(station) / "daily" / f"x_{year}_P1D.csv", NEW)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "77")  # any setting of the caller's
+    try:
+        files, names = observations.whole_files(spark, str(root), "daily"), observations.delivered_files(spark, str(root))
+        assert files.sparkSession.conf.get("spark.sql.files.maxRecordsPerFile") == "77"
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert files.count() == names.count() == 600
+    assert files.rdd.getNumPartitions() <= 16
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(observations.OPEN_COST)
