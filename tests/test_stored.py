@@ -1,6 +1,9 @@
 """Stored tables: deletes in place, buckets, footers, SQL names, kept-up years, and named files."""
 
+import csv
 import datetime as dt
+from collections import Counter
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -171,6 +174,40 @@ def test_named_files(spark, tmp_path):
     assert {p.name for p in (tmp_path / "b").iterdir()} == {"daily_0_2012-2022.csv", "daily_0_2002-2012.csv", "daily_0_1990-2002.csv"}
 
 
+def test_a_named_file_is_put_together_from_parts_of_many_tasks(spark, tmp_path, monkeypatch):
+    path, parts, plain = str(tmp_path / "named"), [], named_files.staged
+
+    @contextmanager
+    def seen(df, label):
+        with plain(df, label) as kept:
+            if label == "named-parts":
+                parts.extend(kept.collect())
+            yield kept
+
+    monkeypatch.setattr(named_files, "staged", seen)
+    monkeypatch.setattr(named_files, "PART_ROWS", 20)
+    # One bucket and piece holds all but one row: days of three stations in mixed order, one day of a station many times.
+    rows = [(str(i % 3), D(2000, 1, 1) + dt.timedelta(days=i * 37 % 50), 2000, f'a "quoted", {i}\nline' if i % 9 else None) for i in range(150)]
+    rows += [("1", D(2000, 2, 1), 2000, str(i)) for i in range(90)] + [("1", None, 2000, "x"), ("2", D(2010, 1, 1), 2010, "late")]
+    df = spark.createDataFrame(rows, "ec_station_id string, datetime date, year int, note string").repartition(5)
+    upkeep.write_named_buckets(df, path, "daily", 10)
+    assert len(list(Path(path).iterdir())) <= 2  # no part is left
+    by_name = Counter(p.name for p in parts)
+    assert max(by_name.values()) > 5 and len({p.place for p in parts}) == len(parts)
+    got = []
+    for file in Path(path).iterdir():
+        with file.open(newline="") as text:
+            header, *lines = csv.reader(text)
+        assert header[:4] == ["ec_station_id", "datetime", "year", "note"]
+        keys = [tuple(x[:2]) for x in lines]
+        assert keys == sorted(keys)
+        got += [tuple(x[:4]) for x in lines]
+    assert Counter(got) == Counter(tuple("" if v is None else str(v) for v in r) for r in rows)
+    gapfill.write_named_records(df.withColumn("climate_id", F.lit("C")), path)
+    assert sorted(p.name for p in Path(path).iterdir()) == [
+        "stat_0_20000101-20000219.csv", "stat_1_20000101-20000219.csv", "stat_2_20000101-20100101.csv"]
+
+
 def test_a_failed_write_leaves_no_file_and_keeps_the_old(spark, tmp_path):
     path = str(tmp_path / "named")
     gapfill.write_named_records(days(spark, D(2000, 1, 1)), path)
