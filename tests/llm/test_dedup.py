@@ -145,6 +145,27 @@ def test_similar_lines_keep_one(make):
     assert got[1].endswith("end") and got[2] == "top" and got[3] == "" and got[4] == ""
 
 
+def test_lines_meet_and_are_verified_in_rounds(spark, sf, small, monkeypatch):
+    labels, rounds, plain, verified = [], [], line_dedup.written, line_dedup._verified
+    monkeypatch.setattr(line_dedup, "written", lambda df, label: (labels.append(label), plain(df, label))[1])
+    monkeypatch.setattr(line_dedup, "ROUND_PAIRS", 4, raising=False)
+    monkeypatch.setattr(line_dedup, "_verified", lambda *a: (rounds.append(1), verified(*a))[1])
+    want = brute.lines(small, brute.similar_lines(spark, small))
+    got = by_id(QUERIES["op10_line_dedup"](spark, sf))
+    assert got == {i: (n, k, brute.sha(t or "")) for i, (n, k, t) in want.items()}
+    assert labels.count("line-pairs") > line_dedup.ROUNDS and len(rounds) > 2
+
+
+@pytest.mark.parametrize("n_chars", [990, 1010, 4000])
+def test_long_similar_lines(make, n_chars):
+    """Lines around the length at which equal beginnings and ends are taken off first, a word left out so that the words shift."""
+    words = [f"w{i * 7919 % 10007}" for i in range(n_chars // 5)]
+    line = " ".join(words)[:n_chars]
+    near, far = line.replace(words[40] + " ", "", 1), " ".join(reversed(line.split(" ")))
+    got = {r.doc_id: r.n_removed for r in line_dedup.deduplicate(make([(1, line), (2, near), (3, far)])).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
 def test_lines_against_edit_distance_alone(spark, sf, small):
     """Nine in ten of the lines that plain edit distance removes go, and no other ones."""
     every = brute.lines(small, brute.similar_lines(spark, small, candidates=False))

@@ -5,6 +5,10 @@ import subprocess
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from gaugeworks import session
+
 ROOT = str(Path(__file__).resolve().parent.parent)
 
 
@@ -32,3 +36,14 @@ def test_other_sessions_must_name_one(tmp_path):
         "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
         "shared_folder(spark)\n", tmp_path)
     assert "ValueError: start the session with spark.checkpoint.dir" in done.stderr
+
+
+def test_what_is_written_leaves_no_shuffle_files(spark):
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    before, given = held(), spark.conf.get(session.CLEANUP)
+    grouped = session.written(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "grouped")
+    assert grouped.count() == 10
+    kept = held()
+    for _ in range(3):
+        session.written(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "grouped")
+    assert held() <= kept <= before + 1 and spark.conf.get(session.CLEANUP) == given
