@@ -201,6 +201,17 @@ def test_recall_of_similar_lines(make, n_words, least):
     assert all(i % 2 for i in gone) and len(gone) >= least * len(rows) / 2
 
 
+def test_copies_of_line_dedup_go(spark, make, tmp_path, monkeypatch):
+    """Of all that line dedup stores, only which lines go is left when it returns."""
+    from gaugeworks import session
+
+    monkeypatch.setattr(session, "scratch_folder", lambda spark: str(tmp_path))
+    line = " ".join(f"word{i}" for i in range(60))
+    found = line_dedup.deduplicate(make([(1, line), (2, line + " x")]))
+    assert [p.name.split("-")[:2] for p in tmp_path.iterdir()] == [["line", "flags"]]
+    assert {r.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 1}
+
+
 def test_lines_odd_rows(make, empty_docs):
     assert line_dedup.deduplicate(empty_docs).count() == 0
     rows = [(None, "a b\nc d"), (1, "a b\na b"), (1, "a b\na b"), (2, None), (3, "\n\n"), (None, "only here\nonly here")]

@@ -47,3 +47,23 @@ def test_what_is_written_leaves_no_shuffle_files(spark):
     for _ in range(3):
         session.written(spark.range(1000).repartition(7).groupBy((F.col("id") % 10).alias("k")).count(), "grouped")
     assert held() <= kept <= before + 1 and spark.conf.get(session.CLEANUP) == given
+
+
+def test_passing_copies_are_removed(spark, tmp_path, monkeypatch):
+    from gaugeworks import session
+
+    monkeypatch.setattr(session, "scratch_folder", lambda spark: str(tmp_path))
+    with session.passing(spark):
+        with session.passing(spark):
+            first = session.written(spark.range(5), "first")
+            inner = session.written(first.where("id > 1"), "inner")
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["inner"]
+        outer = session.written(inner.where("id > 2"), "outer")
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["outer"] and outer.count() == 2
+    try:
+        with session.passing(spark):
+            session.written(spark.range(5), "broken")
+            raise ValueError("stop")
+    except ValueError:
+        pass
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["outer"]
