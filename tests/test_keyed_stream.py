@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeworks import schemas
 from gaugeworks.operators import tables as upkeep
 from gaugeworks.sources import tables
+from gaugeworks.streaming import keyed
 from gaugeworks.streaming.keyed import insert_keyed_stream
 
 
@@ -100,3 +103,42 @@ def test_hours(spark, tmp_path):
     assert found.count() == found.select("datetime").distinct().count() == 4
     assert {r.datetime.hour for r in found.collect()} == {1, 2, 3, 8}
     assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
+def test_groups_do_not_grow_with_the_stations(spark):
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("C"), (F.col("id") % 4000).cast("string")).alias("climate_id"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("datetime"))
+    groups = keyed._keyed(rows, "daily").select("bucket_", "span_").distinct().count()
+    assert groups <= 256
+    undated = rows.withColumn("climate_id", F.lit(None).cast("string"))
+    assert keyed._keyed(undated, "daily").select("bucket_", "span_").distinct().count() > 1  # days of those without an id are spread
+
+
+class _State:
+    """One group's value, in place of the store."""
+
+    def __init__(self):
+        self.value = None
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_one_state_tells_stations_and_days_apart():
+    unseen, passed = keyed.Unseen(["v"]), []
+    unseen.init(_State())
+    unseen.handleInitialState(None, pd.DataFrame({"who_": ["=a", ""], "stored_": [[3, 1], [5]]}), None)
+    for who, at in ((["=a", "=b", "=b", "", "="], [1, 1, 1, 5, 5]), (["=b", "=a", "=c", ""], [1, 2, 2, 6]), (["=c", "=a", "=", "=b"], [2, 3, 5, 1 << 41])):
+        rows = pd.DataFrame({"who_": who, "at_": at, "v": [f"{w}{a}" for w, a in zip(who, at)]})
+        passed.append([v for some in unseen.handleInputRows(None, iter([rows.iloc[:2], rows.iloc[2:]]), None) for v in some["v"]])
+    # Rows of one micro-batch with one new key all pass.
+    assert passed == [["=b1", "=b1", "=5"], ["=a2", "=c2", "6"], [f"=b{1 << 41}"]]
