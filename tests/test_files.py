@@ -269,3 +269,20 @@ def test_small_files_share_tasks(spark, tmp_path):
     assert files.count() == names.count() == 600
     assert files.rdd.getNumPartitions() <= 16
     assert spark.conf.get("spark.sql.files.openCostInBytes") != str(observations.OPEN_COST)
+
+
+def test_whole_files_come_as_bytes_and_stations_below_one_listing(spark, tmp_path):
+    """Files are read byte by byte, not by the reader of text, and only names of stations are matched on the driver."""
+    root = tmp_path / "raw"
+    for place, text in (("1/daily/en_C1_1999_P1D.csv", "\ufeffa\rb\r\n"), ("_2/daily/x y_1999_P1D.csv", "x"), ("1/daily/deeper/en_C1_2000_P1D.csv", "no"),
+                        ("3/hourly/en_01-2000_P1H.csv", "h"), ("3/other/z.csv", "no"), ("top.csv", "no"), ("3/daily.txt", "no")):
+        (root / place).parent.mkdir(parents=True, exist_ok=True)
+        (root / place).write_bytes(text.encode())
+    found = observations.whole_files(spark, str(root), "daily")
+    assert {(r.path.rsplit("/", 1)[1], r.content) for r in found.collect()} == {("en_C1_1999_P1D.csv", "\ufeffa\rb\r\n"), ("x%20y_1999_P1D.csv", "x")}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "binaryFile" in plan
+    listed = observations.delivered_files(spark, f"{root}/")
+    assert {tuple(r) for r in listed.collect()} == {("1", "daily", 1999, None), ("_2", "daily", 1999, None), ("3", "hourly", 2000, 1)}
+    assert "(4 paths)" in listed._jdf.queryExecution().sparkPlan().toString()  # what lies below root, not each station's directories
+    assert observations.read_observation_tree(spark, str(tmp_path / "none"), "daily").isEmpty()
