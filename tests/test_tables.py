@@ -104,3 +104,20 @@ def test_year_bucket_files(spark, tmp_path):
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "z int, x int")
     assert {(r.x, r.y, r.z) for r in union_by_name(a, b).collect()} == {(1, 2, None), (4 if False else 4, None, 3)}
+
+
+def test_stored_keys_that_a_batch_lacks_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """What is compared grows with the batch; keys without an id, and days given as times, are found all the same."""
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    stored = spark.createDataFrame([(f"C{k}", day(n)) for k in range(40) for n in range(100)] + [(None, day(3))], "climate_id string, datetime date")
+    batch = spark.createDataFrame([("C1", day(0)), ("C1", day(700)), ("x", day(99)), (None, day(3)), (None, day(4))], stored.schema)
+    kept = {tuple(r) for r in upkeep.maybe_in_batch(stored, batch).collect()}
+    assert {("C1", day(0)), (None, day(3))} <= kept and len(kept) < 10
+    times = batch.withColumn("datetime", F.col("datetime").cast("timestamp"))
+    assert {("C1", day(0)), (None, day(3))} <= {tuple(r) for r in upkeep.maybe_in_batch(stored, times).collect()}
+    compared = []
+    real = upkeep.rows_to_insert
+    monkeypatch.setattr(upkeep, "rows_to_insert", lambda batch, stored, **k: compared.append(stored.count()) or real(batch, stored, **k))
+    upkeep.incremental_insert(stored.withColumn("total_precip", F.lit(1.0)), f"{tmp_path}/daily", "daily", "2100-01-01")
+    facts = upkeep.incremental_insert(batch.withColumn("total_precip", F.lit(1.0)), f"{tmp_path}/daily", "daily", "2100-01-01")
+    assert facts["inserted_rows"] == 3 and compared[0] == 0 and compared[1] < 10
